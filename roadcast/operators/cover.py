@@ -46,7 +46,10 @@ def interval_pieces(
 
 
 def merge_pieces(pieces: DataFrame, keys: Sequence[str], folds: Mapping[str, str]) -> DataFrame:
-    return pieces.groupBy(*keys, "_cell", "s", "e").agg(*[_FOLDS[fold](n).alias(n) for n, fold in folds.items()])
+    grouped = [*keys, "_cell", "s", "e"]
+    if not folds:
+        return pieces.select(*grouped).distinct()
+    return pieces.groupBy(*grouped).agg(*[_FOLDS[fold](n).alias(n) for n, fold in folds.items()])
 
 
 def cover_table(pieces: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -70,7 +73,7 @@ def look_up(
     rows = rows.withColumn("_hits", hits)
     out = {"_covered": F.coalesce(F.size("_hits") > 0, F.lit(False))}
     for name, fold in folds.items():
-        field = F.transform("_hits", lambda p, n=name: p[n])
+        field = F.col("_hits")[name]
         if fold == "max":
             out[name] = F.array_max(field)
         else:

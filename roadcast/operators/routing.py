@@ -18,50 +18,50 @@ def shortest_paths(trips: DataFrame, edges: DataFrame, used: DataFrame | None =
     Nodes that are no closer than the destination is already known to be are dropped.  ``used`` (od_id, src,
     dst, times) makes edges of earlier paths ``penalty`` ** times as long.  Each round starts from files.
     """
-    best = edges.groupBy("src", "dst").agg(F.min("length").alias("length"))
-    best = cut_lineage(best)
-    reached = trips.select("od_id", F.col("src").alias("node"), F.lit(0.0).alias("dist"), F.lit(None).cast("bigint").alias("prev"), F.lit(True).alias("fresh"))
-    reached = cut_lineage(reached.dropDuplicates(["od_id", "node"]))
-    goals = trips.select("od_id", F.col("dst").alias("_goal"))
+    best = cut_lineage(edges.groupBy("src", "dst").agg(F.min("length").alias("length")))
+    best = best.select(F.col("src").alias("node"), F.col("dst").alias("_to"), "length")
+    goals = cut_lineage(trips.select("od_id", F.col("dst").alias("node")))
+    reached = trips.select(
+        "od_id", F.col("src").alias("node"), F.lit(0.0).alias("dist"), F.lit(None).cast("bigint").alias("prev"), F.lit(True).alias("fresh")
+    )
+    reached = cut_lineage(reached)
     while True:
-        known = reached.join(goals, (reached["od_id"] == goals["od_id"]) & (reached["node"] == goals["_goal"]), "left_semi")
-        limit = known.select(F.col("od_id"), F.col("dist").alias("_limit"))
-        front = reached.filter("fresh").drop("prev", "fresh").join(limit, "od_id", "left")
-        front = front.filter(F.col("_limit").isNull() | (F.col("dist") < F.col("_limit"))).drop("_limit")
-        steps = front.join(best.withColumnRenamed("src", "node"), "node").select(
-            "od_id", F.col("node").alias("prev"), F.col("dst").alias("node"), "dist", "length"
-        )
+        limit = reached.join(goals, ["od_id", "node"]).select("od_id", F.col("dist").alias("_limit"))
+        front = reached.filter("fresh").select("od_id", "node", "dist").join(limit, "od_id", "left")
+        front = front.filter(F.col("_limit").isNull() | (F.col("dist") < F.col("_limit")))
+        steps = front.join(best, "node").select("od_id", F.col("node").alias("prev"), F.col("_to").alias("node"), "dist", "length")
         if used is not None:
             worn = used.select("od_id", F.col("src").alias("prev"), F.col("dst").alias("node"), "times")
             steps = steps.join(worn, ["od_id", "prev", "node"], "left")
             steps = steps.withColumn("length", F.col("length") * F.pow(F.lit(penalty), F.coalesce("times", F.lit(0))))
         offers = steps.select("od_id", "node", (F.col("dist") + F.col("length")).alias("dist"), "prev", F.lit(True).alias("fresh"))
-        offers = offers.groupBy("od_id", "node").agg(F.min_by(F.struct("dist", "prev", "fresh"), F.struct("dist", "prev")).alias("_o"))
-        held = reached.select("od_id", "node", F.struct("dist", "prev", F.lit(False).alias("fresh")).alias("_h"))
-        both = held.join(offers, ["od_id", "node"], "full")
-        take = F.col("_h").isNull() | (F.col("_o.dist") < F.col("_h.dist"))
-        both = both.withColumn("_s", F.when(take, F.col("_o")).otherwise(F.col("_h")))
-        reached = cut_lineage(both.select("od_id", "node", "_s.dist", "_s.prev", "_s.fresh"))
+        held = reached.withColumn("fresh", F.lit(False))
+        # On equal length the node keeps what it has.
+        merged = held.unionByName(offers).groupBy("od_id", "node").agg(
+            F.min_by(F.struct("dist", "prev", "fresh"), F.struct("dist", "fresh", "prev")).alias("_s")
+        )
+        reached = cut_lineage(merged.select("od_id", "node", "_s.dist", "_s.prev", "_s.fresh"))
         if reached.filter("fresh").isEmpty():
-            break
-    return _walk_back(trips, reached)
+            return _walk_back(goals, reached)
 
 
-def _walk_back(trips: DataFrame, reached: DataFrame) -> DataFrame:
-    """Follow ``prev`` from each destination to its source."""
-    back = reached.select("od_id", "node", "prev")
-    at = trips.select("od_id", F.col("dst").alias("node")).join(back, ["od_id", "node"])
-    at = cut_lineage(at.withColumn("back", F.lit(0)))
-    walked, step = at, 0
+def _walk_back(goals: DataFrame, reached: DataFrame) -> DataFrame:
+    """Follow ``prev`` from each destination to its source, twice as far in each round."""
+    jump = reached.filter(F.col("prev").isNotNull()).select("od_id", "node", "prev")
+    walked = cut_lineage(goals.join(reached, ["od_id", "node"]).select("od_id", "node", F.lit(0).cast("bigint").alias("back")))
+    width = 1
     while True:
-        step += 1
-        at = at.filter(F.col("prev").isNotNull()).select("od_id", F.col("prev").alias("node"))
-        at = cut_lineage(at.join(back, ["od_id", "node"]).withColumn("back", F.lit(step)))
-        if at.isEmpty():
+        jump = cut_lineage(jump)
+        more = walked.join(jump, ["od_id", "node"]).select("od_id", F.col("prev").alias("node"), (F.col("back") + width).alias("back"))
+        more = cut_lineage(more)
+        if more.isEmpty():
             break
-        walked = walked.unionByName(at)
-    lengths = walked.groupBy("od_id").agg(F.max("back").alias("_hops"))
-    return walked.join(lengths, "od_id").select("od_id", (F.col("_hops") - F.col("back")).cast("bigint").alias("hop"), "node")
+        walked = walked.unionByName(more)
+        far = jump.select("od_id", F.col("node").alias("prev"), F.col("prev").alias("_far"))
+        jump = jump.join(far, ["od_id", "prev"]).select("od_id", "node", F.col("_far").alias("prev"))
+        width *= 2
+    hops = walked.groupBy("od_id").agg(F.max("back").alias("_hops"))
+    return walked.join(hops, "od_id").select("od_id", (F.col("_hops") - F.col("back")).alias("hop"), "node")
 
 
 def path_edges(paths: DataFrame) -> DataFrame:

@@ -46,18 +46,16 @@ def _components(links: DataFrame) -> DataFrame:
     the logarithm of the longest chain.  Rounds start from files in the shared folder.
     """
     links = cut_lineage(links)
-    labels = cut_lineage(links.groupBy("node").agg(F.min("node").alias("comp")))
+    labels = links.select("node", F.col("node").alias("comp"), F.lit(True).alias("moved")).distinct()
     while True:
         low = links.join(labels, "node").groupBy("hub").agg(F.min("comp").alias("comp"))
         seen = links.join(low, "hub").groupBy("node").agg(F.min("comp").alias("comp"))
+        seen = cut_lineage(seen.join(labels.select("node", F.col("comp").alias("_old")), "node"))
         jump = seen.select(F.col("node").alias("comp"), F.col("comp").alias("_next"))
-        moved = seen.join(jump, "comp").groupBy("node").agg(F.min(F.least("comp", "_next")).alias("comp"))
-        moved = cut_lineage(moved)
-        changed = moved.join(labels.withColumnRenamed("comp", "_old"), "node").filter(F.col("comp") != F.col("_old"))
-        done = changed.isEmpty()
-        labels = moved
-        if done:
-            return labels
+        labels = seen.join(jump, "comp").select("node", F.col("_next").alias("comp"), (F.col("_next") != F.col("_old")).alias("moved"))
+        labels = cut_lineage(labels)
+        if labels.filter("moved").isEmpty():
+            return labels.drop("moved")
 
 
 def _metres(lat1, lon1, lat2, lon2) -> float:

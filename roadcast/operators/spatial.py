@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadcast.functions.columns import EARTH_RADIUS_M, flat_m, haversine_m
 from roadcast.operators.features import road_mid
+from roadcast.session import cut_lineage
 
 LEAF_DEG = 0.004
 LEVELS = 5  # each level has cells eight times as wide; five levels above the leaf reach 131 degrees
@@ -207,6 +208,7 @@ def exact_quantiles(df: DataFrame, col: str, quantiles: dict[str, float]) -> Dat
 
 def distance_summary(df: DataFrame, col: str = "dist_to_road_m", limits: Sequence[int] = (200, 500)) -> DataFrame:
     d = F.col(col)
+    df = cut_lineage(df.select(col))  # read several times below
     moments = df.agg(
         F.count(d).alias("n"),
         F.avg(d).alias("mean"),

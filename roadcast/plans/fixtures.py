@@ -87,9 +87,9 @@ SELECT user_id, event_id % 20 AS place_id, event_id AS change_no,
  CASE WHEN event_id % 3 = 0 THEN NULL ELSE concat('label ', CAST(event_id AS STRING)) END AS label
 FROM {events}""",
     "road_edges": """
-SELECT a.c_custkey AS src, b.c_custkey AS dst, CAST(100 * s.k + (a.c_custkey * 37 + s.k) % 50 AS DOUBLE) AS length
-FROM {customer} a JOIN (SELECT 1 AS k UNION ALL SELECT 7 AS k UNION ALL SELECT 40 AS k UNION ALL SELECT 300 AS k UNION ALL SELECT 2500 AS k) s ON 1 = 1
-JOIN {customer} b ON b.c_custkey = a.c_custkey + s.k""",
+SELECT s.c_custkey AS src, b.c_custkey AS dst, CAST(100 * s.k + (s.c_custkey * 37 + s.k) % 50 AS DOUBLE) AS length
+FROM (SELECT c_custkey, explode(array(1, 3, 9, 27, 81, 243, 729, 2187, 6561)) AS k FROM {customer}) s
+JOIN {customer} b ON b.c_custkey = s.c_custkey + s.k""",
     "trips": """
 SELECT s_suppkey AS od_id, s_suppkey AS src, s_suppkey * 14 + 9 AS dst FROM {supplier}""",
 }

@@ -158,15 +158,18 @@ _TYPES_SQL = (
 register("features_incident_types", _incident_types, _TYPES_SQL)
 
 
-def _sql_rollup(features: str) -> str:
+def _sql_rollup(features: str, lags, leads) -> str:
+    names = ["link_id", "snapshot_ts", "sb", *map(ft.lag_name, lags), *SG, *map(ft.lead_name, leads)]
+    names += ["road_category", "mid_lat", "mid_lon", "lat_bin", "lon_bin"]
+    cols = ", ".join(f"b.{name}" for name in names)
     return f"""
-SELECT b.*, CASE WHEN count(i.type) > 0 THEN 1 ELSE 0 END AS incident_on_link, count(i.type) AS incident_count_on_link,
+SELECT {cols}, CASE WHEN count(i.type) > 0 THEN 1 ELSE 0 END AS incident_on_link, count(i.type) AS incident_count_on_link,
  (b.snapshot_ts - max(i.start_ts)) / CAST(60 AS DOUBLE) AS mins_since_inc_start,
  max(CASE WHEN i.type = 'Accident' THEN 1 ELSE 0 END) AS has_accident,
  max(CASE WHEN i.type = 'Roadwork' THEN 1 ELSE 0 END) AS has_roadwork,
  max(CASE WHEN i.type = 'Vehicle breakdown' THEN 1 ELSE 0 END) AS has_breakdown
 FROM ({features}) b LEFT JOIN {{incidents}} i ON i.nearest_link_id = b.link_id AND b.snapshot_ts BETWEEN i.start_ts AND i.end_ts
-GROUP BY ALL"""
+GROUP BY {cols}"""
 
 
 _MASTER_LAGS = _MASTER_LEADS = (1, 2, 3, 4, 5, 6)
@@ -183,11 +186,13 @@ def _master(spark, d):
     return _rollup(spark, d, _MASTER_LAGS, _MASTER_LEADS, _MASTER_VALID)
 
 
-_MASTER_SQL = _sql_rollup(_sql_with_road(_sql_features(_MASTER_LAGS, _MASTER_LEADS, SINGAPORE_SHIFT_S, SG, _MASTER_VALID)))
+_MASTER_SQL = _sql_rollup(
+    _sql_with_road(_sql_features(_MASTER_LAGS, _MASTER_LEADS, SINGAPORE_SHIFT_S, SG, _MASTER_VALID)), _MASTER_LAGS, _MASTER_LEADS
+)
 register(
     "features_nearby_v2",
     lambda spark, d: _rollup(spark, d, LAGS, (3,), _BANDS15),
-    _sql_rollup(_sql_with_road(_sql_features(LAGS, (3,), SINGAPORE_SHIFT_S, SG, _BANDS15))),
+    _sql_rollup(_sql_with_road(_sql_features(LAGS, (3,), SINGAPORE_SHIFT_S, SG, _BANDS15)), LAGS, (3,)),
 )
 register("features_master_v3", _master, _MASTER_SQL)
 register(

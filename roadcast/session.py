@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps are epoch seconds read in UTC.  With the co-partitioning switch a table already
 # hashed on link_id can join on (link_id, cell) without another shuffle of the large side.
@@ -45,7 +46,11 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared folder, so that later steps start from files."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from its files.
+
+    Computed once, safe against lost executors, and the planner learns the real size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -39,7 +39,7 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 
 def _ordered_blocks(df: DataFrame, keys, order, n_rows: int, rows_per_block: int) -> DataFrame:
-    """Rows in checkpointed blocks that follow (keys, order); ``_tie`` makes the order total."""
+    """Rows in written blocks that follow (keys, order); ``_tie`` makes the order total."""
     parts = max(2, math.ceil(n_rows / rows_per_block))
     blocks = (
         df.withColumn("_tie", F.monotonically_increasing_id())
