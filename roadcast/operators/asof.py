@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadcast.functions.columns import cell_of
+from roadcast.skew import spread_join
 
 BLOCK_S = 3600
 
 
-def asof_rain(df: DataFrame, mapping: DataFrame, rain: DataFrame, block_s: int = BLOCK_S) -> DataFrame:
+def asof_rain(
+    df: DataFrame, mapping: DataFrame, rain: DataFrame, block_s: int = BLOCK_S, hot: DataFrame | None = None
+) -> DataFrame:
     """Latest rain value at or before each reading, from the station nearest to its link.
 
     Rain is listed per (station, hour), each list opening with the value carried in from the hours before; with one value
     per second at most, a list has no more than ``block_s`` + 1 entries.  Readings meet their list in an equi join and are
-    neither sorted nor grouped.
+    neither sorted nor grouped; a station with a large share of them is spread over its hours, and the join splits what is left.
     """
     values = rain.groupBy("station_id", "ts").agg(F.max("rain_mm").alias("rain_mm"))
     values = values.withColumn("_block", cell_of("ts", block_s))
@@ -43,9 +46,10 @@ def asof_rain(df: DataFrame, mapping: DataFrame, rain: DataFrame, block_s: int =
     final = blocks.filter(F.col("_next").isNull()).select(
         "station_id", F.col("_block").alias("_end_block"), F.col("_last").alias("_end_mm")
     )
-    rows = df.join(mapping.select("link_id", F.col("nearest_station_id").alias("station_id")), "link_id", "left")
+    stations = mapping.select("link_id", F.col("nearest_station_id").alias("station_id")).join(final, "station_id", "left")
+    rows = spread_join(df, stations, ["link_id"], "link_id", hot)
     rows = rows.withColumn("_block", cell_of("snapshot_ts", block_s))
-    rows = rows.join(filled.unionByName(gaps), ["station_id", "_block"], "left").join(final, "station_id", "left")
+    rows = rows.join(filled.unionByName(gaps), ["station_id", "_block"], "left")
     before = F.filter("_rain", lambda r: r["ts"] <= F.col("snapshot_ts"))
     last = F.when(F.size(before) > 0, F.element_at(before, -1)["rain_mm"])
     mm = F.when(F.col("_block") > F.col("_end_block"), F.col("_end_mm")).otherwise(last)

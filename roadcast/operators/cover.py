@@ -1,8 +1,9 @@
 """Which intervals cover a point in time: the shared core of all incident features.
 
-Intervals are cut at fixed cell edges and equal pieces are merged, with their aggregates, before anything is
-collected.  A cell of ``cell_s`` seconds has at most cell_s * (cell_s + 1) / 2 different pieces, so the list kept per (key, cell)
-is bounded however many intervals fall on one key.  Rows then find their list with one equi join on (key, cell):
+Intervals are cut at the edges of hourly cells and equal pieces are merged, with their aggregates, before anything
+is collected.  A piece that begins and ends inside an hour is cut again every five minutes.  Times are whole seconds, so an hour
+has at most 3,600 pieces that begin with it, 3,600 that end with it and 12 x 45,451 shorter ones: the list kept per
+(key, cell) is bounded, whatever number of intervals falls on one key.  Rows then find their list with one equi join on (key, cell):
 no row is multiplied and nothing has to be grouped back.
 """
 
@@ -14,8 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadcast.functions.columns import cell_of
+from roadcast.skew import spread_join
 
-CELL_S = 900
+CELL_S = 3600
+SUB_S = 300
 _FOLDS = {"sum": F.sum, "max": F.max}
 
 
@@ -26,6 +29,7 @@ def interval_pieces(
     start: str = "start_ts",
     end: str = "end_ts",
     cell_s: int = CELL_S,
+    sub_s: int = SUB_S,
 ) -> DataFrame:
     """(keys, _cell, s, e, values): pieces of the intervals, merged where cell and ends agree.
 
@@ -42,6 +46,14 @@ def interval_pieces(
             }
         )
     )
+    first, last = F.col("_cell") * cell_s, F.col("_cell") * cell_s + (cell_s - 1)
+    subs = F.when((F.col("s") > first) & (F.col("e") < last), F.sequence(cell_of("s", sub_s), cell_of("e", sub_s)))
+    cut = cut.withColumn("_sub", F.explode_outer(subs)).withColumns(
+        {
+            "s": F.greatest("s", F.col("_sub") * sub_s),
+            "e": F.least("e", F.col("_sub") * sub_s + (sub_s - 1)),
+        }
+    )
     return merge_pieces(cut, keys, {n: fold for n, (_, fold) in values.items()})
 
 
@@ -65,10 +77,11 @@ def look_up(
     ts: str = "snapshot_ts",
     cell_s: int = CELL_S,
     how: str = "left",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add the merged values of the intervals that cover ``ts``: sums are 0 and maxima NULL without one."""
     rows = df.withColumn("_cell", cell_of(ts, cell_s))
-    rows = rows.join(cover, [*keys, "_cell"], how)
+    rows = spread_join(rows, cover, [*keys, "_cell"], keys[0], hot, how)
     hits = F.filter("_pieces", lambda p: (p["s"] <= F.col(ts)) & (F.col(ts) <= p["e"]))
     rows = rows.withColumn("_hits", hits)
     out = {"_covered": F.coalesce(F.size("_hits") > 0, F.lit(False))}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadcast.functions.columns import BIN_SCALE, PEAK_HOURS, WEEKEND_DAYS, dow_of, hour_of, midpoint, space_bin
-from roadcast.skew import MAX_GROUP_ROWS, neighbour_window
+from roadcast.skew import FIND, MAX_GROUP_ROWS, Hot, neighbour_window, spread_join
 
 STEP_MIN = 5
 
@@ -53,6 +53,7 @@ def build_features(
     time_names: tuple[str, str] | None = ("hour", "dow"),
     valid: Sequence[str] = (),
     max_rows: int = MAX_GROUP_ROWS,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """One row per reading with the bands of earlier and later readings of the same link.
 
@@ -69,7 +70,7 @@ def build_features(
         return frame.withColumns(steps)
 
     rows = neighbour_window(
-        rows, ["link_id"], ["snapshot_ts", "_id"], add, max(lags, default=0), max(leads, default=0), max_rows
+        rows, ["link_id"], ["snapshot_ts", "_id"], add, max(lags, default=0), max(leads, default=0), max_rows, hot
     )
     rows = valid_bands(rows, valid)
     parts: list[str] = []
@@ -92,12 +93,18 @@ def road_mid(roads: DataFrame) -> DataFrame:
 
 
 def with_road(
-    df: DataFrame, roads: DataFrame, how: str = "inner", position: str = "mid", bin_scale: int = BIN_SCALE
+    df: DataFrame,
+    roads: DataFrame,
+    how: str = "inner",
+    position: str = "mid",
+    bin_scale: int = BIN_SCALE,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add road columns: midpoint and cells (``position="mid"``), or the end points (``"ends"``).
 
     The rows are already hashed on link_id by the window, so the join adds no shuffle of them; whether roads are small
-    enough to broadcast is left to the optimiser, which knows their size.
+    enough to broadcast is left to the optimiser, which knows their size.  ``hot`` are the links with too many readings for
+    one task, from :func:`roadcast.skew.hot_keys`.
     """
     if position == "ends":
         side = roads.select("link_id", "road_category", "start_lat", "start_lon", "end_lat", "end_lon")
@@ -110,7 +117,7 @@ def with_road(
             space_bin("mid_lat", bin_scale).alias("lat_bin"),
             space_bin("mid_lon", bin_scale).alias("lon_bin"),
         )
-    return df.join(side, "link_id", how)
+    return spread_join(df, side, ["link_id"], "link_id", hot, how)
 
 
 def add_momentum(df: DataFrame) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Incident features on readings: flags, covering maxima, roll-ups, incidents near a link."""
+"""Incident features on readings: flags, covering maxima, roll-ups, incidents near a link.
+
+``hot`` are the links with too many readings for one task, from :func:`roadcast.skew.hot_keys`.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +14,7 @@ from roadcast.functions.columns import haversine_m
 from roadcast.operators.cover import cover_table, interval_pieces, look_up, merge_pieces
 from roadcast.operators.features import road_mid
 from roadcast.operators.spatial import close_pairs
+from roadcast.skew import spread_join
 
 # Incident type names, fixed values of the feed.
 ACCIDENT, ROADWORK, BREAKDOWN = "Accident", "Roadwork", "Vehicle breakdown"
@@ -29,25 +33,29 @@ def distinct_intervals(incidents: DataFrame) -> DataFrame:
     return on_link(incidents).select("link_id", "start_ts", "end_ts").dropDuplicates()
 
 
-def _add_cover(df: DataFrame, incidents: DataFrame, values: Mapping[str, tuple[Column, str]]) -> DataFrame:
+def _add_cover(
+    df: DataFrame, incidents: DataFrame, values: Mapping[str, tuple[Column, str]], hot: DataFrame | None
+) -> DataFrame:
     pieces = interval_pieces(incidents, ["link_id"], values)
     folds = {name: fold for name, (_, fold) in values.items()}
-    return look_up(df, cover_table(pieces, ["link_id"], list(values)), ["link_id"], folds)
+    return look_up(df, cover_table(pieces, ["link_id"], list(values)), ["link_id"], folds, hot=hot)
 
 
-def flag_incidents(df: DataFrame, incidents: DataFrame) -> DataFrame:
+def flag_incidents(df: DataFrame, incidents: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """``has_incident`` = 1 where an incident of the link covers the reading."""
-    out = _add_cover(df, distinct_intervals(incidents), {})
+    out = _add_cover(df, distinct_intervals(incidents), {}, hot)
     return out.withColumn("has_incident", F.col("_covered").cast("int")).drop("_covered")
 
 
-def covering_max(df: DataFrame, incidents: DataFrame, cols: Mapping[str, str]) -> DataFrame:
+def covering_max(
+    df: DataFrame, incidents: DataFrame, cols: Mapping[str, str], hot: DataFrame | None = None
+) -> DataFrame:
     """For each output name the largest value of an incident column; the maxima are independent of one another."""
     values = {name: (F.col(source), "max") for name, source in cols.items()}
-    return _add_cover(df, on_link(incidents), values).drop("_covered")
+    return _add_cover(df, on_link(incidents), values, hot).drop("_covered")
 
 
-def incident_rollup(df: DataFrame, incidents: DataFrame) -> DataFrame:
+def incident_rollup(df: DataFrame, incidents: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Count, age and type flags of the incidents that cover each reading.
 
     Only typed incidents are counted, while one without a type still sets the age.  Equal
@@ -61,7 +69,7 @@ def incident_rollup(df: DataFrame, incidents: DataFrame) -> DataFrame:
         "has_breakdown": (_is(BREAKDOWN), "max"),
     }
     flags = ["has_accident", "has_roadwork", "has_breakdown"]
-    rows = _add_cover(df, on_link(incidents), values)
+    rows = _add_cover(df, on_link(incidents), values, hot)
     merged = rows.groupBy(*df.columns).agg(
         F.sum("_typed").alias("incident_count_on_link"),
         F.max("_latest").alias("_latest"),
@@ -96,11 +104,11 @@ def nearby_incidents(
     folds = {name: fold for name, (_, fold) in values.items()}
     at_spot = interval_pieces(incidents.filter("lat IS NOT NULL AND lon IS NOT NULL"), ["lat", "lon"], values)
     spots = at_spot.select("lat", "lon").distinct()
-    mids = road_mid(roads).select("link_id", "mid_lat", "mid_lon")
+    snapshots = readings.select("link_id", "snapshot_ts").distinct()
+    mids = road_mid(roads).join(snapshots.select("link_id"), "link_id", "left_semi").select("link_id", "mid_lat", "mid_lon")
     pairs = close_pairs(spots, mids, radius_m, haversine_m).select("lat", "lon", "link_id")
     on_links = merge_pieces(at_spot.join(pairs, ["lat", "lon"]), ["link_id"], folds)
     cover = cover_table(on_links, ["link_id"], list(values))
-    snapshots = readings.select("link_id", "snapshot_ts").distinct()
     hit = look_up(snapshots, cover, ["link_id"], folds, how="inner").filter("_covered")
     return hit.select(
         "link_id",
@@ -113,9 +121,9 @@ def nearby_incidents(
     )
 
 
-def with_nearby(df: DataFrame, nearby: DataFrame) -> DataFrame:
+def with_nearby(df: DataFrame, nearby: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Left join of the nearby table; rows without an entry get 0, and -1 for the age."""
-    out = df.join(nearby, ["link_id", "snapshot_ts"], "left")
+    out = spread_join(df, nearby, ["link_id", "snapshot_ts"], "link_id", hot)
     return out.withColumns(
         {
             name: F.coalesce(F.col(name), F.lit(-1.0 if name.startswith("mins") else 0))

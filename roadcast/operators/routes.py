@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roadcast.functions.columns import bearing_deg, bearing_diff, flat_m, midpoint
 from roadcast.operators.features import road_mid
 from roadcast.operators.spatial import in_box_pairs
-from roadcast.skew import MAX_GROUP_ROWS, neighbour_window, run_numbers
+from roadcast.skew import FIND, MAX_GROUP_ROWS, Hot, hot_keys, neighbour_window, run_numbers
 
 # Matching limits, fixed values.
 MIN_SEGMENT_M = 5.0
@@ -20,14 +20,16 @@ BEARING_WEIGHT = 0.7
 _ENDS = ["lat1", "lon1", "lat2", "lon2"]
 
 
-def segments(points: DataFrame, min_len_m: float = MIN_SEGMENT_M, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def segments(
+    points: DataFrame, min_len_m: float = MIN_SEGMENT_M, max_rows: int = MAX_GROUP_ROWS, hot: Hot = FIND
+) -> DataFrame:
     """Consecutive point pairs of each route, without those shorter than ``min_len_m``."""
 
     def add(df, w):
         return df.withColumns({"lat2": F.lead("lat").over(w), "lon2": F.lead("lon").over(w)})
 
     rows = points.select("route_id", "seq", "lat", "lon")
-    pairs = neighbour_window(rows, ["route_id"], ["seq"], add, 0, 1, max_rows)
+    pairs = neighbour_window(rows, ["route_id"], ["seq"], add, 0, 1, max_rows, hot)
     pairs = pairs.filter(F.col("lat2").isNotNull()).withColumnsRenamed({"lat": "lat1", "lon": "lon1"})
     length = flat_m(*_ENDS)
     return pairs.withColumn("segment_len_m", length).filter(F.col("segment_len_m") >= min_len_m)
@@ -76,7 +78,7 @@ def match_segments(
     )
 
 
-def merge_runs(matches: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def merge_runs(matches: DataFrame, max_rows: int = MAX_GROUP_ROWS, hot: Hot = FIND) -> DataFrame:
     """Consecutive matches of one link in a route as one row; unmatched segments do not break a run."""
     hits = matches.filter(F.col("link_id").isNotNull())
 
@@ -84,7 +86,7 @@ def merge_runs(matches: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
         before = F.lag("link_id").over(w)
         return before.isNull() | (before != F.col("link_id"))
 
-    runs = run_numbers(hits, ["route_id"], ["seq"], starts, "run_no", max_rows)
+    runs = run_numbers(hits, ["route_id"], ["seq"], starts, "run_no", max_rows, hot)
     return runs.groupBy("route_id", "run_no", "link_id").agg(
         F.min("seq").alias("first_seq"),
         F.count(F.lit(1)).alias("n_segments"),
@@ -107,9 +109,13 @@ def route_summary(matches: DataFrame) -> DataFrame:
 
 
 def match_routes(points: DataFrame, roads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(segment matches, merged runs) of every route; totals come from :func:`route_summary` on the first."""
-    matches = match_segments(segments(points), roads)
-    return matches, merge_runs(matches)
+    """(segment matches, merged runs) of every route; totals come from :func:`route_summary` on the first.
+
+    A route has fewer segments than points, so its size is looked at once.
+    """
+    hot = hot_keys(points, ["route_id"])
+    matches = match_segments(segments(points, hot=hot), roads)
+    return matches, merge_runs(matches, hot=hot)
 
 
 def enrich_matches(matches: DataFrame, roads: DataFrame, state: DataFrame, scores: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadcast.functions.columns import EARTH_RADIUS_M
 from roadcast.session import cut_lineage
-from roadcast.skew import MAX_GROUP_ROWS, join_keys, run_numbers
+from roadcast.skew import FIND, MAX_GROUP_ROWS, Hot, hot_keys, join_keys, run_numbers
 
 MAX_GAP_MIN = 15  # fixed value
 RADIUS_M = 200.0  # fixed value
@@ -25,6 +25,7 @@ def gap_sessions(
     max_gap_min: float = MAX_GAP_MIN,
     out: str = "session_no",
     max_rows: int = MAX_GROUP_ROWS,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Number the sessions of each key: a new one starts after a gap longer than ``max_gap_min``."""
 
@@ -32,7 +33,7 @@ def gap_sessions(
         gap = F.col(ts) - F.lag(ts, 1).over(w)
         return gap.isNull() | (gap > F.lit(max_gap_min * 60))
 
-    return run_numbers(df, keys, [ts, row_id], starts, out, max_rows)
+    return run_numbers(df, keys, [ts, row_id], starts, out, max_rows, hot)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -114,17 +115,18 @@ def assign_incidents(
     gap_s = max_gap_min * 60
     cells_lat = radius_m * 1.02 / 110000.0
     cells_lon = cells_lat / cos(radians(60.0))
-    copies = snapshots.groupBy("type", "lat", "lon", "snapshot_ts").agg(
-        F.min("row_id").alias("row_id"), F.min_by("message", "row_id").alias("message")
-    )
     placed = F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~F.isnan("lat") & ~F.isnan("lon")
-    rows = copies.filter(placed).withColumns(
+    cells = snapshots.filter(placed).withColumns(
         {
             "_ci": F.floor(F.col("lat") / cells_lat).cast("bigint"),
             "_cj": F.floor(F.col("lon") / cells_lon).cast("bigint"),
         }
     )
-    rows = gap_sessions(rows, ["type", "_ci", "_cj"], "snapshot_ts", "row_id", max_gap_min, "_run", max_rows)
+    hot = hot_keys(cells, ["type", "_ci", "_cj"], max_rows)
+    rows = cells.groupBy("type", "_ci", "_cj", "lat", "lon", "snapshot_ts").agg(
+        F.min("row_id").alias("row_id"), F.min_by("message", "row_id").alias("message")
+    )
+    rows = gap_sessions(rows, ["type", "_ci", "_cj"], "snapshot_ts", "row_id", max_gap_min, "_run", max_rows, hot)
     rows = cut_lineage(rows)
     run_key = ["type", "_ci", "_cj", "_run"]
     runs = rows.groupBy(*run_key).agg(

@@ -124,8 +124,11 @@ def nearest_join(points: DataFrame, targets: DataFrame, target_id: str, out_id:
         .agg(F.min(target_id).alias("_tid"))
         .withColumns({"_i": F.floor(F.col("lat") / LEAF_DEG).cast("bigint"), "_j": F.floor(F.col("lon") / LEAF_DEG).cast("bigint")})
     )
-    at_leaf = leaves.groupBy("_i", "_j").agg(
-        F.min("lat").alias("_lat1"), F.max("lat").alias("_lat2"), F.min("lon").alias("_lon1"), F.max("lon").alias("_lon2")
+    leaves = cut_lineage(leaves)
+    at_leaf = cut_lineage(
+        leaves.groupBy("_i", "_j").agg(
+            F.min("lat").alias("_lat1"), F.max("lat").alias("_lat2"), F.min("lon").alias("_lon1"), F.max("lon").alias("_lon2")
+        )
     )
 
     def boxes(level: int) -> DataFrame:

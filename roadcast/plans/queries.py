@@ -30,6 +30,7 @@ from roadcast.operators.asof import asof_rain
 from roadcast.operators.routing import alternative_paths
 from roadcast.plans.fixtures import END_TS, NOW_TS, START_TS, duck_sql, run_sql, table, view
 from roadcast.session import shared_folder
+from roadcast.skew import FIND, hot_keys, spread_join
 from roadcast.sources import feeds, tables
 from roadcast.streaming import live
 
@@ -79,8 +80,13 @@ def _sql_with_road(features: str, cols: str = _MID) -> str:
     return f"SELECT f.*, {cols} FROM ({features}) f JOIN {{road_links}} r ON f.link_id = r.link_id"
 
 
-def _features(spark, d, lags=(1, 2, 3), leads=(3,), shift=0, names=("hour", "dow"), valid=()):
-    return ft.build_features(view(spark, d, "speedbands"), lags, leads, START_TS, END_TS, shift, names, valid)
+def _hot_links(spark, d):
+    """Links with too many readings for one task; counted once per query and handed to its steps."""
+    return hot_keys(view(spark, d, "speedbands"), ["link_id"])
+
+
+def _features(spark, d, lags=(1, 2, 3), leads=(3,), shift=0, names=("hour", "dow"), valid=(), hot=FIND):
+    return ft.build_features(view(spark, d, "speedbands"), lags, leads, START_TS, END_TS, shift, names, valid, hot=hot)
 
 
 LAGS = (1, 2, 3)
@@ -106,8 +112,9 @@ def _register_horizon(minutes: int, step: int) -> None:
     shift, names = (SINGAPORE_SHIFT_S, SG) if local else (0, ("hour", "dow"))
 
     def roads(spark, d):
-        rows = _features(spark, d, leads=(step,), shift=shift, names=names, valid=bands)
-        return ft.with_road(rows, view(spark, d, "road_links"), position="mid" if local else "ends")
+        hot = _hot_links(spark, d)
+        rows = _features(spark, d, leads=(step,), shift=shift, names=names, valid=bands, hot=hot)
+        return ft.with_road(rows, view(spark, d, "road_links"), position="mid" if local else "ends", hot=hot)
 
     road_sql = _sql_with_road(_sql_features(LAGS, (step,), shift, names, bands), _MID if local else _ENDS)
     register(f"features_roads_tp{minutes}", roads, road_sql)
@@ -134,21 +141,27 @@ _PLAIN15 = _sql_features(LAGS, (3,), names=(), valid=_BANDS15)
 _COVERS = "i.nearest_link_id = f.link_id AND f.snapshot_ts >= i.start_ts AND f.snapshot_ts <= i.end_ts"
 
 
-def _plain15(spark, d):
-    rows = _features(spark, d, names=None, valid=_BANDS15)
-    return ft.with_road(rows, view(spark, d, "road_links"))
+def _plain15(spark, d, hot):
+    rows = _features(spark, d, names=None, valid=_BANDS15, hot=hot)
+    return ft.with_road(rows, view(spark, d, "road_links"), hot=hot)
+
+
+def _flagged(spark, d):
+    hot = _hot_links(spark, d)
+    return inc.flag_incidents(_plain15(spark, d, hot), view(spark, d, "incidents"), hot)
 
 
 register(
     "features_incidents",
-    lambda spark, d: inc.flag_incidents(_plain15(spark, d), view(spark, d, "incidents")),
+    _flagged,
     f"SELECT f.*, CASE WHEN EXISTS (SELECT 1 FROM {{incidents}} i WHERE {_COVERS}) THEN 1 ELSE 0 END AS has_incident FROM ({_sql_with_road(_PLAIN15)}) f",
 )
 
 
 def _incident_types(spark, d):
     cols = {"incident_type": "type", "incident_duration": "duration_min"}
-    return inc.covering_max(_plain15(spark, d), view(spark, d, "incidents"), cols)
+    hot = _hot_links(spark, d)
+    return inc.covering_max(_plain15(spark, d, hot), view(spark, d, "incidents"), cols, hot)
 
 
 _TYPES_SQL = (
@@ -176,14 +189,15 @@ _MASTER_LAGS = _MASTER_LEADS = (1, 2, 3, 4, 5, 6)
 _MASTER_VALID = ["sb", "sb_tm5", "sb_tm10", "sb_tm15", "y_tp15", "sb_tm30", "y_tp30"]
 
 
-def _rollup(spark, d, lags, leads, valid):
-    rows = _features(spark, d, lags, leads, SINGAPORE_SHIFT_S, SG, valid)
-    rows = ft.with_road(rows, view(spark, d, "road_links"))
-    return inc.incident_rollup(rows, view(spark, d, "incidents"))
+def _rollup(spark, d, lags, leads, valid, hot=FIND):
+    hot = _hot_links(spark, d) if hot is FIND else hot
+    rows = _features(spark, d, lags, leads, SINGAPORE_SHIFT_S, SG, valid, hot)
+    rows = ft.with_road(rows, view(spark, d, "road_links"), hot=hot)
+    return inc.incident_rollup(rows, view(spark, d, "incidents"), hot)
 
 
-def _master(spark, d):
-    return _rollup(spark, d, _MASTER_LAGS, _MASTER_LEADS, _MASTER_VALID)
+def _master(spark, d, hot=FIND):
+    return _rollup(spark, d, _MASTER_LAGS, _MASTER_LEADS, _MASTER_VALID, hot)
 
 
 _MASTER_SQL = _sql_rollup(
@@ -194,7 +208,7 @@ register(
     lambda spark, d: _rollup(spark, d, LAGS, (3,), _BANDS15),
     _sql_rollup(_sql_with_road(_sql_features(LAGS, (3,), SINGAPORE_SHIFT_S, SG, _BANDS15)), LAGS, (3,)),
 )
-register("features_master_v3", _master, _MASTER_SQL)
+register("features_master_v3", lambda spark, d: _master(spark, d), _MASTER_SQL)
 register(
     "distinct_intervals",
     lambda spark, d: inc.distinct_intervals(view(spark, d, "incidents")),
@@ -269,8 +283,8 @@ register(
 )
 
 
-def _rain(spark, d, rows):
-    return asof_rain(rows, _link_stations(spark, d), view(spark, d, "rain"))
+def _rain(spark, d, rows, hot):
+    return asof_rain(rows, _link_stations(spark, d), view(spark, d, "rain"), hot=hot)
 
 
 def _sql_rain(rows: str) -> str:
@@ -282,16 +296,17 @@ ASOF LEFT JOIN {{rain}} x ON x.station_id = m.nearest_station_id AND t.snapshot_
 
 register(
     "asof_rain",
-    lambda spark, d: _rain(spark, d, view(spark, d, "speedbands")),
+    lambda spark, d: _rain(spark, d, view(spark, d, "speedbands"), _hot_links(spark, d)),
     _sql_rain("SELECT * FROM {speedbands}"),
 )
 
 
 def _change(spark, d):
-    rows = _rain(spark, d, _master(spark, d))
+    hot = _hot_links(spark, d)
+    rows = _rain(spark, d, _master(spark, d, hot), hot)
     ends = view(spark, d, "road_links").select("link_id", "start_lat", "end_lat", "start_lon", "end_lon")
-    rows = rows.join(ends, "link_id", "left")
-    rows = inc.with_nearby(rows, _nearby(spark, d))
+    rows = spread_join(rows, ends, ["link_id"], "link_id", hot)
+    rows = inc.with_nearby(rows, _nearby(spark, d), hot)
     return ft.add_targets(ft.add_calendar_flags(ft.add_link_proxy(ft.add_momentum(rows))))
 
 
@@ -684,7 +699,11 @@ register(
 
 
 def _matches(spark, d):
-    return rt.match_segments(rt.segments(view(spark, d, "route_points")), view(spark, d, "road_links"))
+    return rt.match_routes(view(spark, d, "route_points"), view(spark, d, "road_links"))[0]
+
+
+def _runs(spark, d):
+    return rt.match_routes(view(spark, d, "route_points"), view(spark, d, "road_links"))[1]
 
 
 _DISTINCT_SQL = f"SELECT DISTINCT lat1, lon1, lat2, lon2 FROM ({_SEGMENTS_SQL}) s"
@@ -710,7 +729,7 @@ SELECT route_id, run_no, link_id, min(seq) AS first_seq, count(*) AS n_segments,
  SELECT *, CAST(sum(s) OVER (PARTITION BY route_id ORDER BY seq) AS BIGINT) AS run_no FROM (
   SELECT *, CASE WHEN lag(link_id) OVER (PARTITION BY route_id ORDER BY seq) = link_id THEN 0 ELSE 1 END AS s FROM ({_MATCH_SQL}) m WHERE link_id IS NOT NULL) a) b
 GROUP BY route_id, run_no, link_id"""
-register("match_routes", lambda spark, d: rounded(rt.merge_runs(_matches(spark, d)), "segment_len_m", digits=2), _RUNS_SQL)
+register("match_routes", lambda spark, d: rounded(_runs(spark, d), "segment_len_m", digits=2), _RUNS_SQL)
 register(
     "route_summary",
     lambda spark, d: rt.route_summary(_matches(spark, d)),
@@ -721,7 +740,7 @@ register(
 
 def _enriched_matches(spark, d):
     lags = _lags(spark, d)
-    rows = rt.merge_runs(_matches(spark, d)).select("route_id", "run_no", "link_id")
+    rows = _runs(spark, d).select("route_id", "run_no", "link_id")
     return rt.enrich_matches(rows, view(spark, d, "road_links"), lags, _stand_in_scores(lags))
 
 

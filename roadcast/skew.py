@@ -17,14 +17,18 @@ from pyspark.sql import functions as F
 from roadcast.session import cut_lineage
 
 MAX_GROUP_ROWS = 4_000_000
+FIND = "find"  # stands for "count the rows of the frame at hand"
+Hot = DataFrame | None | str
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> DataFrame | None:
-    """Keys with more than ``max_rows`` rows and their count ``_n``; None when there are none.
+    """Keys with more than ``max_rows`` rows, their count ``_n`` and in how many ``_parts`` to cut them; None when there are none.
 
-    Runs a job.  There can be at most (rows / max_rows) such keys.
+    Runs a job.  There can be at most (rows / max_rows) such keys.  The result may be handed to every step whose groups
+    are no larger than those counted here, so that a derived frame is not computed only to be counted.
     """
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
+    hot = hot.withColumn("_parts", F.ceil(F.col("_n") / max_rows).cast("int"))
     return None if hot.isEmpty() else cut_lineage(hot)
 
 
@@ -38,6 +42,25 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(right, on, how).drop(*[f"_k_{key}" for key in keys])
 
 
+def spread_join(
+    df: DataFrame, side: DataFrame, on: Sequence[str], key: str, hot: DataFrame | None, how: str = "left"
+) -> DataFrame:
+    """``df.join(side, on, how)`` where rows of hot ``key`` values are dealt to several tasks.
+
+    ``side`` is copied for those keys, once per part.  The hot keys are broadcast: there are at most
+    (rows / max_rows) of them.  ``how`` is inner or left.
+    """
+    if hot is None:
+        return df.join(side, list(on), how)
+    parts = F.broadcast(hot.select(F.col(key).alias("_hk"), "_parts"))
+    dealt = df.join(parts, F.col(key) == F.col("_hk"), "left")
+    part = F.pmod(F.xxhash64(*df.columns), F.coalesce("_parts", F.lit(1))).cast("int")
+    dealt = dealt.withColumn("_part", part).select(*df.columns, "_part")
+    copies = side.join(parts, F.col(key) == F.col("_hk"), "left")
+    copies = copies.withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+    return dealt.join(copies.select(*side.columns, "_part"), [*on, "_part"], how).drop("_part")
+
+
 def _ordered_blocks(df: DataFrame, keys, order, n_rows: int, rows_per_block: int) -> DataFrame:
     """Rows in written blocks that follow (keys, order); ``_tie`` makes the order total."""
     parts = max(2, math.ceil(n_rows / rows_per_block))
@@ -86,9 +109,10 @@ def neighbour_window(
     before: int,
     after: int,
     max_rows: int = MAX_GROUP_ROWS,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Apply ``add(df, window)`` with lag/lead columns that reach ``before`` rows back and ``after`` rows on."""
-    hot = hot_keys(df, keys, max_rows)
+    hot = hot_keys(df, keys, max_rows) if hot is FIND else hot
     if hot is None:
         return add(df, Window.partitionBy(*keys).orderBy(*order))
     cold, rows, total = _split(df, hot, keys)
@@ -106,6 +130,7 @@ def run_numbers(
     starts: Callable[[WindowSpec], Column],
     out: str,
     max_rows: int = MAX_GROUP_ROWS,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Number runs 1, 2, .. inside each key: a row opens a run where ``starts(window)`` holds.
 
@@ -120,7 +145,7 @@ def run_numbers(
         total = F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return flagged.withColumn(out, total).drop("_start")
 
-    hot = hot_keys(df, keys, max_rows)
+    hot = hot_keys(df, keys, max_rows) if hot is FIND else hot
     plain = Window.partitionBy(*keys).orderBy(*order)
     if hot is None:
         return add(df, plain)

@@ -70,3 +70,27 @@ def test_routes_by_blocks(spark):
     assert rows(merge_runs(matches, max_rows=20), "run_no", "link_id", "first_seq", "n_segments") == rows(
         merge_runs(matches), "run_no", "link_id", "first_seq", "n_segments"
     )
+
+
+def test_joins_of_hot_links(spark, readings):
+    from roadcast.operators import incidents as inc
+    from roadcast.operators.asof import asof_rain
+    from roadcast.operators.features import with_road
+
+    roads = spark.range(25).selectExpr("id AS link_id", "1 AS road_category", "1.0D AS start_lat", "2.0D AS end_lat", "3.0D AS start_lon", "id * 0.1D AS end_lon")
+    incidents = spark.range(200).selectExpr(
+        "id AS incident_id", "id % 6 AS nearest_link_id", "IF(id % 3 = 0, 'Accident', NULL) AS type", "id * 50 AS start_ts", "id * 50 + id * 7 AS end_ts", "id * 1.0D AS duration_min"
+    )
+    mapping = spark.range(20).selectExpr("id AS link_id", "CAST(id % 2 AS STRING) AS nearest_station_id")
+    rain = spark.range(50).selectExpr("CAST(id % 3 AS STRING) AS station_id", "id * 200 AS ts", "id * 1.0D AS rain_mm")
+    rows_in = readings.select("link_id", "snapshot_ts", "speed_band")
+    hot = hot_keys(readings, ["link_id"], 60)
+    for job in (
+        lambda h: with_road(rows_in, roads, hot=h),
+        lambda h: with_road(rows_in, roads, how="left", hot=h),
+        lambda h: inc.flag_incidents(rows_in, incidents, h),
+        lambda h: inc.covering_max(rows_in, incidents, {"d": "duration_min"}, h),
+        lambda h: inc.incident_rollup(rows_in, incidents, h),
+        lambda h: asof_rain(rows_in, mapping, rain, hot=h),
+    ):
+        assert rows(job(hot)) == rows(job(None))
