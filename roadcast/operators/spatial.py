@@ -125,25 +125,25 @@ def nearest_join(points: DataFrame, targets: DataFrame, target_id: str, out_id:
         .withColumns({"_i": F.floor(F.col("lat") / LEAF_DEG).cast("bigint"), "_j": F.floor(F.col("lon") / LEAF_DEG).cast("bigint")})
     )
     leaves = cut_lineage(leaves)
-    at_leaf = cut_lineage(
-        leaves.groupBy("_i", "_j").agg(
-            F.min("lat").alias("_lat1"), F.max("lat").alias("_lat2"), F.min("lon").alias("_lon1"), F.max("lon").alias("_lon2")
-        )
-    )
 
     def boxes(level: int) -> DataFrame:
         """Boxes of a level (0 = leaf), with the cell one level up as ``_pi``, ``_pj``."""
-        own = at_leaf.groupBy(
+        own = leaves.groupBy(
             F.shiftright("_i", 3 * level).alias("_ni"), F.shiftright("_j", 3 * level).alias("_nj")
-        ).agg(F.min("_lat1").alias("_lat1"), F.max("_lat2").alias("_lat2"), F.min("_lon1").alias("_lon1"), F.max("_lon2").alias("_lon2"))
+        ).agg(F.min("lat").alias("_lat1"), F.max("lat").alias("_lat2"), F.min("lon").alias("_lon1"), F.max("lon").alias("_lon2"))
         own = own.withColumns({"_pi": F.shiftright("_ni", 3), "_pj": F.shiftright("_nj", 3)})
         # Cells of two degrees and more: the globe has at most 16,000 of them.
         return F.broadcast(own) if level >= 3 else own
 
-    roots = F.array(*[F.struct(F.lit(i).cast("bigint").alias("i"), F.lit(j).cast("bigint").alias("j")) for i in (-1, 0) for j in (-1, 0)])
+    # Start at the lowest level where at most 2 x 2 cells hold all targets.
+    extent = leaves.agg(F.min("_i"), F.max("_i"), F.min("_j"), F.max("_j")).first()
+    i1, i2, j1, j2 = (0 if v is None else v for v in extent)
+    top = next(n for n in range(LEVELS + 2) if (i2 >> 3 * n) - (i1 >> 3 * n) <= 1 and (j2 >> 3 * n) - (j1 >> 3 * n) <= 1)
+    cells = [(i, j) for i in {i1 >> 3 * top, i2 >> 3 * top} for j in {j1 >> 3 * top, j2 >> 3 * top}]
+    roots = F.array(*[F.struct(F.lit(i).cast("bigint").alias("i"), F.lit(j).cast("bigint").alias("j")) for i, j in cells])
     held = spots.withColumn("_r", F.explode(roots)).select("_plat", "_plon", F.col("_r.i").alias("_pi"), F.col("_r.j").alias("_pj"))
     per_point = Window.partitionBy("_plat", "_plon")
-    for level in range(LEVELS, -1, -1):
+    for level in range(top - 1, -1, -1):
         lower, upper = _box_bounds(F.col("_plat"), F.col("_plon"))
         held = (
             held.join(boxes(level), ["_pi", "_pj"])
