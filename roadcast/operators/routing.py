@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadcast.session import cut_lineage
+from roadcast.session import cut_and_count, cut_lineage
 
 PENALTY = 1.5  # fixed value
 MAX_ROUTES = 3  # fixed value
@@ -20,41 +20,43 @@ def shortest_paths(trips: DataFrame, edges: DataFrame, used: DataFrame | None =
     """
     best = cut_lineage(edges.groupBy("src", "dst").agg(F.min("length").alias("length")))
     best = best.select(F.col("src").alias("node"), F.col("dst").alias("_to"), "length")
-    goals = cut_lineage(trips.select("od_id", F.col("dst").alias("node")))
     reached = trips.select(
-        "od_id", F.col("src").alias("node"), F.lit(0.0).alias("dist"), F.lit(None).cast("bigint").alias("prev"), F.lit(True).alias("fresh")
+        "od_id", F.col("src").alias("node"), F.col("dst").alias("goal"), F.lit(0.0).alias("dist"), F.lit(None).cast("bigint").alias("prev"), F.lit(True).alias("fresh")
     )
     reached = cut_lineage(reached)
     while True:
-        limit = reached.join(goals, ["od_id", "node"]).select("od_id", F.col("dist").alias("_limit"))
-        front = reached.filter("fresh").select("od_id", "node", "dist").join(limit, "od_id", "left")
+        limit = reached.filter("node = goal").select("od_id", F.col("dist").alias("_limit"))
+        front = reached.filter("fresh").select("od_id", "node", "goal", "dist").join(limit, "od_id", "left")
         front = front.filter(F.col("_limit").isNull() | (F.col("dist") < F.col("_limit")))
-        steps = front.join(best, "node").select("od_id", F.col("node").alias("prev"), F.col("_to").alias("node"), "dist", "length")
+        steps = front.join(best, "node").select(
+            "od_id", F.col("node").alias("prev"), F.col("_to").alias("node"), "goal", "dist", "length"
+        )
         if used is not None:
             worn = used.select("od_id", F.col("src").alias("prev"), F.col("dst").alias("node"), "times")
             steps = steps.join(worn, ["od_id", "prev", "node"], "left")
             steps = steps.withColumn("length", F.col("length") * F.pow(F.lit(penalty), F.coalesce("times", F.lit(0))))
-        offers = steps.select("od_id", "node", (F.col("dist") + F.col("length")).alias("dist"), "prev", F.lit(True).alias("fresh"))
+        offers = steps.select("od_id", "node", "goal", (F.col("dist") + F.col("length")).alias("dist"), "prev", F.lit(True).alias("fresh"))
         held = reached.withColumn("fresh", F.lit(False))
         # On equal length the node keeps what it has.
         merged = held.unionByName(offers).groupBy("od_id", "node").agg(
-            F.min_by(F.struct("dist", "prev", "fresh"), F.struct("dist", "fresh", "prev")).alias("_s")
+            F.first("goal").alias("goal"),
+            F.min_by(F.struct("dist", "prev", "fresh"), F.struct("dist", "fresh", "prev")).alias("_s"),
         )
-        reached = cut_lineage(merged.select("od_id", "node", "_s.dist", "_s.prev", "_s.fresh"))
-        if reached.filter("fresh").isEmpty():
-            return _walk_back(goals, reached)
+        reached, counts = cut_and_count(merged.select("od_id", "node", "goal", "_s.dist", "_s.prev", "_s.fresh"), fresh="fresh")
+        if not counts["fresh"]:
+            return _walk_back(reached)
 
 
-def _walk_back(goals: DataFrame, reached: DataFrame) -> DataFrame:
+def _walk_back(reached: DataFrame) -> DataFrame:
     """Follow ``prev`` from each destination to its source, twice as far in each round."""
     jump = reached.filter(F.col("prev").isNotNull()).select("od_id", "node", "prev")
-    walked = cut_lineage(goals.join(reached, ["od_id", "node"]).select("od_id", "node", F.lit(0).cast("bigint").alias("back")))
+    walked = cut_lineage(reached.filter("node = goal").select("od_id", "node", F.lit(0).cast("bigint").alias("back")))
     width = 1
     while True:
         jump = cut_lineage(jump)
         more = walked.join(jump, ["od_id", "node"]).select("od_id", F.col("prev").alias("node"), (F.col("back") + width).alias("back"))
-        more = cut_lineage(more)
-        if more.isEmpty():
+        more, counts = cut_and_count(more, rows="true")
+        if not counts["rows"]:
             break
         walked = walked.unionByName(more)
         far = jump.select("od_id", F.col("node").alias("prev"), F.col("prev").alias("_far"))
@@ -70,6 +72,13 @@ def path_edges(paths: DataFrame) -> DataFrame:
     return paths.withColumnRenamed("node", "src").join(after, ["od_id", "hop"]).select("od_id", "src", "dst")
 
 
+def path_lengths(paths: DataFrame, edges: DataFrame) -> DataFrame:
+    """(od_id, n_edges, length) of paths without penalties."""
+    best = edges.groupBy("src", "dst").agg(F.min("length").alias("length"))
+    steps = path_edges(paths).join(best, ["src", "dst"])
+    return steps.groupBy("od_id").agg(F.count(F.lit(1)).alias("n_edges"), F.sum("length").alias("length"))
+
+
 def alternative_paths(trips: DataFrame, edges: DataFrame, k: int = MAX_ROUTES, penalty: float = PENALTY) -> DataFrame:
     """(od_id, alt, hop, node): up to three paths per trip; each path makes its edges longer for the next ones."""
     used, out = None, None

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadcast.functions.columns import EARTH_RADIUS_M
-from roadcast.session import cut_lineage
+from roadcast.session import cut_and_count, cut_lineage
 from roadcast.skew import FIND, MAX_GROUP_ROWS, Hot, hot_keys, join_keys, run_numbers
 
 MAX_GAP_MIN = 15  # fixed value
@@ -54,8 +54,8 @@ def _components(links: DataFrame) -> DataFrame:
         seen = cut_lineage(seen.join(labels.select("node", F.col("comp").alias("_old")), "node"))
         jump = seen.select(F.col("node").alias("comp"), F.col("comp").alias("_next"))
         labels = seen.join(jump, "comp").select("node", F.col("_next").alias("comp"), (F.col("_next") != F.col("_old")).alias("moved"))
-        labels = cut_lineage(labels)
-        if labels.filter("moved").isEmpty():
+        labels, counts = cut_and_count(labels, moved="moved")
+        if not counts["moved"]:
             return labels.drop("moved")
 
 

@@ -196,7 +196,7 @@ def exact_quantiles(df: DataFrame, col: str, quantiles: dict[str, float]) -> Dat
     first = F.col("_b1") + F.col("_b2") + F.col("_b3")
     total = values.agg(F.sum("_c").alias("_total"))
     ranked = ranked.select("_v", first.alias("_first"), (first + F.col("_c") - 1).alias("_last"))
-    ranked = ranked.join(F.broadcast(total))  # one row
+    ranked = ranked.withColumn("_total", total.scalar())
     picks = []
     for name, q in quantiles.items():
         rank = F.lit(q) * (F.col("_total") - 1)
@@ -220,4 +220,6 @@ def distance_summary(df: DataFrame, col: str = "dist_to_road_m", limits: Sequenc
         F.max(d).alias("max"),
         *[F.count_if(d > limit).alias(f"over_{limit}m") for limit in limits],
     )
-    return moments.join(F.broadcast(exact_quantiles(df, col, {"p50": 0.5, "p90": 0.9, "p99": 0.99})))  # one row each
+    quantiles = exact_quantiles(df, col, {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+    moments = moments.withColumn("_q", quantiles.select(F.struct("*")).scalar())
+    return moments.select("*", "_q.*").drop("_q")

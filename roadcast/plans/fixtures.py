@@ -1,7 +1,7 @@
 """Road-traffic views over the driver's tables.
 
 One text per view for both engines: ``{name}`` stands for a table or another view, ``[EP]`` for the epoch
-seconds of ``ts`` and ``[DIV]`` for whole division.  Every view reads its tables whole.
+seconds of ``ts``, ``[DIV]`` for whole division, ``[STRIDES]`` for one row per step width of the road graph.  Every view reads its tables whole.
 """
 
 from __future__ import annotations
@@ -10,8 +10,13 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-SPARK_TOKENS = {"[EP]": "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)", "[DIV]": "div"}
-DUCK_TOKENS = {"[EP]": "(epoch_us(ts)//1000000)", "[DIV]": "//"}
+_STRIDES = ", ".join(str(n * 10**p) for p in range(4) for n in range(1, 6))
+SPARK_TOKENS = {
+    "[EP]": "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)",
+    "[DIV]": "div",
+    "[STRIDES]": f"explode(array({_STRIDES}))",
+}
+DUCK_TOKENS = {"[EP]": "(epoch_us(ts)//1000000)", "[DIV]": "//", "[STRIDES]": f"unnest([{_STRIDES}])"}
 
 # The events span 30 days from here; all time-range filters use these bounds.
 START_TS = 1704067200
@@ -88,7 +93,7 @@ SELECT user_id, event_id % 20 AS place_id, event_id AS change_no,
 FROM {events}""",
     "road_edges": """
 SELECT s.c_custkey AS src, b.c_custkey AS dst, CAST(100 * s.k + (s.c_custkey * 37 + s.k) % 50 AS DOUBLE) AS length
-FROM (SELECT c_custkey, explode(array(1, 3, 9, 27, 81, 243, 729, 2187, 6561)) AS k FROM {customer}) s
+FROM (SELECT c_custkey, [STRIDES] AS k FROM {customer}) s
 JOIN {customer} b ON b.c_custkey = s.c_custkey + s.k""",
     "trips": """
 SELECT s_suppkey AS od_id, s_suppkey AS src, s_suppkey * 14 + 9 AS dst FROM {supplier}""",
@@ -134,5 +139,8 @@ def duck_sql(body: str) -> str:
     text = _fill(body, DUCK_TOKENS).strip()
     if ctes:
         head = ",\n".join(ctes)
-        text = f"WITH {head},\n{text[5:]}" if text.upper().startswith("WITH ") else f"WITH {head}\n{text}"
+        if text.upper().startswith("WITH RECURSIVE "):
+            text = f"WITH RECURSIVE {head},\n{text[15:]}"
+        else:
+            text = f"WITH {head}\n{text}"
     return _NAME.sub(r"\1", _fill(text, DUCK_TOKENS))

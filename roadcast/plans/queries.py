@@ -27,9 +27,9 @@ from roadcast.operators import sessions as ss
 from roadcast.operators import spatial as sp
 from roadcast.operators import state as st
 from roadcast.operators.asof import asof_rain
-from roadcast.operators.routing import alternative_paths
+from roadcast.operators.routing import alternative_paths, path_lengths, shortest_paths
 from roadcast.plans.fixtures import END_TS, NOW_TS, START_TS, duck_sql, run_sql, table, view
-from roadcast.session import shared_folder
+from roadcast.session import cut_lineage, shared_folder
 from roadcast.skew import FIND, hot_keys, spread_join
 from roadcast.sources import feeds, tables
 from roadcast.streaming import live
@@ -752,6 +752,25 @@ register(
 )
 register("alternative_paths", lambda spark, d: alternative_paths(view(spark, d, "trips"), view(spark, d, "road_edges")))
 
+
+
+def _shortest_lengths(spark, d):
+    edges = view(spark, d, "road_edges")
+    return path_lengths(shortest_paths(view(spark, d, "trips"), edges), edges).select("od_id", "length")
+
+
+register(
+    "shortest_lengths",
+    _shortest_lengths,
+    """WITH RECURSIVE reached(od_id, node, dist) USING KEY (od_id, node) AS (
+ SELECT od_id, src AS node, CAST(0 AS DOUBLE) AS dist FROM {trips}
+ UNION
+ (SELECT n.od_id, n.node, n.dist FROM (
+   SELECT r.od_id, e.dst AS node, min(r.dist + e.length) AS dist FROM reached r JOIN {road_edges} e ON e.src = r.node GROUP BY r.od_id, e.dst) n
+  LEFT JOIN recurring.reached p ON p.od_id = n.od_id AND p.node = n.node WHERE p.dist IS NULL OR n.dist < p.dist))
+SELECT t.od_id, r.dist AS length FROM {trips} t JOIN reached r ON r.od_id = t.od_id AND r.node = t.dst""",
+)
+
 # --- landed feeds ---------------------------------------------------------------------------------------------------------
 
 
@@ -869,7 +888,7 @@ register(
 def _band_model_scores(spark, d):
     from roadcast.operators import models as md
 
-    rows = ft.add_targets(_roads15(spark, d))
+    rows = cut_lineage(ft.add_targets(_roads15(spark, d)))  # training reads its table many times
     train, _ = sm.split_last(rows)
     model = md.fit_band_model(train, md.BAND_FEATURES["roads"], trees=10)
     return md.score_links(model, _lags(spark, d), view(spark, d, "road_links"), NOW_TS)
@@ -878,7 +897,7 @@ def _band_model_scores(spark, d):
 def _change_model_scores(spark, d):
     from roadcast.operators import models as md
 
-    rows = md.row_weights(_change(spark, d), 2.0)
+    rows = cut_lineage(md.row_weights(_change(spark, d), 2.0))
     train, test = sm.split_fraction(rows)
     model = md.fit_change_model(train, rounds=5, depth=5)
     return md.predict_change(model, test).select("link_id", "snapshot_ts", "change", "prob", "pred")

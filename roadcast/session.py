@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Timestamps are epoch seconds read in UTC.  With the co-partitioning switch a table already
 # hashed on link_id can join on (link_id, cell) without another shuffle of the large side.
@@ -54,3 +55,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_and_count(df: DataFrame, **flags: str) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`cut_lineage`, and for each flag how many rows had its condition; counted while writing."""
+    seen = Observation()
+    counts = [F.count_if(F.expr(condition)).alias(name) for name, condition in flags.items()]
+    return cut_lineage(df.observe(seen, *counts)), seen.get
