@@ -14,7 +14,7 @@ MAX_ROUTES = 3  # fixed value
 def shortest_paths(trips: DataFrame, edges: DataFrame, used: DataFrame | None = None, penalty: float = PENALTY) -> DataFrame:
     """(od_id, hop, node) along the least-length path of each trip (od_id, src, dst); trips without one are absent.
 
-    Lengths are relaxed from all sources at once, one round per hop, and only nodes that got closer go into the next round.
+    Lengths are relaxed from all sources at once, two hops per round, and only nodes that got closer go into the next round.
     Nodes that are no closer than the destination is already known to be are dropped.  ``used`` (od_id, src,
     dst, times) makes edges of earlier paths ``penalty`` ** times as long.  Each round starts from files.
     """
@@ -24,10 +24,9 @@ def shortest_paths(trips: DataFrame, edges: DataFrame, used: DataFrame | None =
         "od_id", F.col("src").alias("node"), F.col("dst").alias("goal"), F.lit(0.0).alias("dist"), F.lit(None).cast("bigint").alias("prev"), F.lit(True).alias("fresh")
     )
     reached = cut_lineage(reached)
-    while True:
-        limit = reached.filter("node = goal").select("od_id", F.col("dist").alias("_limit"))
-        front = reached.filter("fresh").select("od_id", "node", "goal", "dist").join(limit, "od_id", "left")
-        front = front.filter(F.col("_limit").isNull() | (F.col("dist") < F.col("_limit")))
+
+    def expand(front: DataFrame) -> DataFrame:
+        """Rows (od_id, node, goal, dist) carried over every edge that leaves their node."""
         steps = front.join(best, "node").select(
             "od_id", F.col("node").alias("prev"), F.col("_to").alias("node"), "goal", "dist", "length"
         )
@@ -35,7 +34,20 @@ def shortest_paths(trips: DataFrame, edges: DataFrame, used: DataFrame | None =
             worn = used.select("od_id", F.col("src").alias("prev"), F.col("dst").alias("node"), "times")
             steps = steps.join(worn, ["od_id", "prev", "node"], "left")
             steps = steps.withColumn("length", F.col("length") * F.pow(F.lit(penalty), F.coalesce("times", F.lit(0))))
-        offers = steps.select("od_id", "node", "goal", (F.col("dist") + F.col("length")).alias("dist"), "prev", F.lit(True).alias("fresh"))
+        return steps.select("od_id", "node", "goal", (F.col("dist") + F.col("length")).alias("dist"), "prev")
+
+    while True:
+        limit = reached.filter("node = goal").select("od_id", F.col("dist").alias("_limit"))
+        front = reached.filter("fresh").select("od_id", "node", "goal", "dist").join(limit, "od_id", "left")
+        front = front.filter(F.col("_limit").isNull() | (F.col("dist") < F.col("_limit")))
+        near = expand(front.drop("_limit")).groupBy("od_id", "node").agg(
+            F.first("goal").alias("goal"), F.min_by(F.struct("dist", "prev"), F.struct("dist", "prev")).alias("_s")
+        )
+        near = near.select("od_id", "node", "goal", "_s.dist", "_s.prev")
+        # Nodes one hop on are left from at once, so only those two hops on are still to be left from.
+        offers = near.withColumn("fresh", F.lit(False)).unionByName(
+            expand(near.drop("prev")).withColumn("fresh", F.lit(True))
+        )
         held = reached.withColumn("fresh", F.lit(False))
         # On equal length the node keeps what it has.
         merged = held.unionByName(offers).groupBy("od_id", "node").agg(
