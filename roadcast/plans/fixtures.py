@@ -92,7 +92,7 @@ SELECT user_id, event_id % 20 AS place_id, event_id AS change_no,
  CASE WHEN event_id % 3 = 0 THEN NULL ELSE concat('label ', CAST(event_id AS STRING)) END AS label
 FROM {events}""",
     "road_edges": """
-SELECT s.c_custkey AS src, b.c_custkey AS dst, CAST(100 * s.k + (s.c_custkey * 37 + s.k) % 50 AS DOUBLE) AS length
+SELECT s.c_custkey AS src, b.c_custkey AS dst, CAST(60 + 100 * s.k + (s.c_custkey * 37 + s.k) % 50 AS DOUBLE) AS length
 FROM (SELECT c_custkey, [STRIDES] AS k FROM {customer}) s
 JOIN {customer} b ON b.c_custkey = s.c_custkey + s.k""",
     "trips": """
