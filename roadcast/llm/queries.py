@@ -12,6 +12,8 @@ from roadcast.llm.common import Steps, table
 from roadcast.llm.exact_dedup import exact_dedup
 from roadcast.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS, scan_licenses
 from roadcast.llm.mixing import mix
+from roadcast.llm.near_dedup import near_dedup
+from roadcast.llm.substring_dedup import find_repeats
 from roadcast.llm.url_filter import build_index, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +150,17 @@ WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 ranked AS (SELECT doc_id, text, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) AS place FROM docs WINDOW w AS (PARTITION BY text))
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(text) AS text_sha256 FROM ranked"""
+
+# --- 6, 8: near copies and repeated passages; tested against brute force ---------------------------------------------
+
+
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op6_near_dedup"] = op6_near_dedup
+QUERIES["op8_substring_dedup"] = op8_substring_dedup
