@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from roadcast.llm import chat
 from roadcast.llm.common import Steps, table
+from roadcast.llm.decontaminate import find_leaks
 from roadcast.llm.exact_dedup import exact_dedup
+from roadcast.llm.language import predict, train
 from roadcast.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS, scan_licenses
 from roadcast.llm.mixing import mix
 from roadcast.llm.near_dedup import near_dedup
@@ -164,3 +166,18 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op6_near_dedup"] = op6_near_dedup
 QUERIES["op8_substring_dedup"] = op8_substring_dedup
+
+# --- 4, 5: benchmark leaks, against brute force; languages, by accuracy on held-out documents -------------------------
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, train(docs))
+
+
+QUERIES["op4_decontaminate"] = op4_decontaminate
+QUERIES["op5_language_id"] = op5_language_id
