@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from roadcast.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS, scan_license
 from roadcast.llm.mixing import mix
 from roadcast.llm.near_dedup import near_dedup
 from roadcast.llm.substring_dedup import find_repeats
+from roadcast.llm.token_output import read_tokens, write_tokens
 from roadcast.llm.url_filter import build_index, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +183,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op4_decontaminate"] = op4_decontaminate
 QUERIES["op5_language_id"] = op5_language_id
+
+# --- 1: token ids; an exact round trip -------------------------------------------------------------------------------
+
+
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Steps(spark).path()
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_tokens(spark, path)
+
+
+QUERIES["op1_token_output"] = op1_token_output
