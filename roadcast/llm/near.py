@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from roadcast.llm.common import Steps
 
-MEMBERS_PER_TASK_GROUP = 256
+LEAST_PARTS, PAIRS_PER_PART = 64, 4096
 
 
 class WordCodes(dict):
@@ -64,21 +64,22 @@ def components(edges: DataFrame, steps: Steps) -> DataFrame:
     """
 
     def write(df):
-        return steps.write_and_sum(df.distinct(), n=F.lit(1), sum=F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))
+        return steps.write_and_sum(df, n=F.lit(1), sum=F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))
 
     now, state = write(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while state["n"]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large, _ = write(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
+        large = steps.write(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        small, after = write(moved.unionByName(least.select("a", F.col("m").alias("b"))))
+        small, after = write(moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         steps.drop(now, large)
         now, same, state = small, after == state, after
         if same:
             break
-    return now.select(F.col("a").alias("uid"), F.col("b").alias("comp")).unionByName(now.select(F.col("b").alias("uid"), F.col("b").alias("comp"))).distinct()
+    roots = now.select(F.col("b").alias("uid"), F.col("b").alias("comp")).distinct()
+    return now.select(F.col("a").alias("uid"), F.col("b").alias("comp")).unionByName(roots)
 
 
 # --- links ----------------------------------------------------------------------------------------------------------
@@ -107,28 +108,28 @@ def _verify(prepare: Callable[[], Prepare], similar: Similar) -> Callable[[Itera
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, prepare: Callable[[], Prepare], similar: Similar, steps: Steps) -> DataFrame:
+def verified(pairs: DataFrame, n_pairs: int, texts: DataFrame, prepare: Callable[[], Prepare], similar: Similar, steps: Steps) -> DataFrame:
     """The (a, b) of ``pairs`` whose texts are similar.
 
-    The members of a pivot are dealt to parts of about MEMBERS_PER_TASK_GROUP, and its text goes once to each part.  So a
-    pivot that half of the table collides with is no task of its own, and no pair carries two texts.
+    The members of a pivot are dealt to parts, more of them the more pairs there are, and its text goes once to each part that has any.
+    So a pivot that half of the table collides with is no task of its own, and no pair carries two texts.
     """
-    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_TASK_GROUP).cast("int").alias("_parts"))
-    members = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("int").alias("part"))
-    members = members.join(texts.withColumnRenamed("uid", "b"), "b").select("a", "b", "part", "text")
-    pivots = parts.join(texts.withColumnRenamed("uid", "a"), "a")
-    pivots = pivots.select("a", F.lit(None).cast("binary").alias("b"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"), "text")
+    n_parts = max(LEAST_PARTS, n_pairs // PAIRS_PER_PART)
+    dealt = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(n_parts)).cast("int").alias("part"))
+    members = dealt.join(texts.select(F.col("uid").alias("b"), "text"), "b").select("a", "b", "part", "text")
+    pivots = dealt.select("a", "part").distinct().join(texts.select(F.col("uid").alias("a"), "text"), "a")
+    pivots = pivots.select("a", F.lit(None).cast("binary").alias("b"), "part", "text")
     rows = members.unionByName(pivots).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
     return steps.write(rows.mapInArrow(_verify(prepare, similar), "a binary, b binary"))
 
 
 def link_groups(
-    buckets: DataFrame, fetch: Callable[[DataFrame], DataFrame], prepare: Callable[[], Prepare], similar: Similar, steps: Steps
+    buckets: DataFrame, fetch: Callable[[DataFrame], DataFrame], prepare: Callable[[], Prepare], similar: Similar, least_ratio: float, steps: Steps
 ) -> DataFrame:
     """(uid, comp) of the units linked to another: components of all similar pairs that share a bucket.
 
-    ``buckets``: (bucket, uid) rows.  ``fetch``: uids to (uid, text).  In each round the first units of a bucket, 1, then 4, 16,
-    .., are its pivots and are compared with all units of the bucket outside their component; then they leave it.  A bucket is done
+    ``buckets``: (bucket, uid, size) rows; units whose sizes are less than ``least_ratio`` apart cannot be similar and are not
+    compared.  ``fetch``: uids to (uid, text).  In each round the first units of a bucket, 1, then 16, 256, .., are its pivots and are compared with all units of the bucket outside their component; then they leave it.  A bucket is done
     when the units left in it are in one component.  So pairs inside a group of copies are never listed, and every pair
     of a bucket has been compared or is joined by links already.  Nothing is capped.
     """
@@ -140,20 +141,21 @@ def link_groups(
     while sums["n"]:
         # the filter on the row number is also applied before the shuffle, so a bucket sends few rows from each task
         first = active.withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("uid"))).filter(F.col("_r") <= n_pivots)
-        pivots = steps.write(first.select("bucket", F.col("uid").alias("a"), F.col("comp").alias("_comp")))
+        pivots = steps.write(first.select("bucket", F.col("uid").alias("a"), F.col("comp").alias("_comp"), F.col("size").alias("_size")))
         is_pivot = pivots.select("bucket", F.col("a").alias("uid"))
-        pairs = active.join(pivots, "bucket").filter("comp <> _comp").select("a", F.least("a", "uid").alias("_x"), F.greatest("a", "uid").alias("_y"))
+        alike = F.least("size", "_size") >= F.greatest("size", "_size") * F.lit(least_ratio - 1e-9)
+        pairs = active.join(pivots, "bucket").filter((F.col("comp") != F.col("_comp")) & alike).select("a", F.least("a", "uid").alias("_x"), F.greatest("a", "uid").alias("_y"))
         pairs = pairs.groupBy("_x", "_y").agg(F.min("a").alias("a")).join(tested, ["_x", "_y"], "left_anti")
-        pairs = steps.write(pairs.select("_x", "_y", "a", F.when(F.col("a") == F.col("_x"), F.col("_y")).otherwise(F.col("_x")).alias("b")))
-        found = verified(pairs.select("a", "b"), texts, prepare, similar, steps)
+        pairs, many = steps.write_and_sum(pairs.select("_x", "_y", "a", F.when(F.col("a") == F.col("_x"), F.col("_y")).otherwise(F.col("_x")).alias("b")), n=F.lit(1))
+        found = verified(pairs.select("a", "b"), many["n"], texts, prepare, similar, steps)
         tested = tested.unionByName(pairs.select("_x", "_y"))
         known = groups.select(F.col("uid").alias("a"), F.col("comp").alias("b"))
         groups = steps.write(components(known.unionByName(found), steps))
-        left = active.join(is_pivot, ["bucket", "uid"], "left_anti").select("bucket", "uid")
-        left = left.join(groups, "uid", "left").select("bucket", "uid", F.coalesce("comp", "uid").alias("comp"))
+        left = active.join(is_pivot, ["bucket", "uid"], "left_anti").select("bucket", "uid", "size")
+        left = left.join(groups, "uid", "left").select("bucket", "uid", "size", F.coalesce("comp", "uid").alias("comp"))
         split = left.groupBy("bucket").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).filter("_low <> _high").select("bucket")
         before = active
-        active, sums = steps.write_and_sum(left.join(split, "bucket").select("bucket", "uid", "comp"), n=F.lit(1))
+        active, sums = steps.write_and_sum(left.join(split, "bucket").select("bucket", "uid", "size", "comp"), n=F.lit(1))
         steps.drop(before, pivots)
-        n_pivots *= 4
+        n_pivots *= 16
     return groups

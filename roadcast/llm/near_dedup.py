@@ -126,15 +126,15 @@ def similar_by_alignment(threshold: float):
     return similar
 
 
-SKETCHES = "row long, doc_id long, uid binary, buckets array<long>"
-_SKETCHES = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("uid", pa.binary()), ("buckets", pa.list_(pa.int64()))])
+SKETCHES = "row long, doc_id long, uid binary, size int, buckets array<long>"
+_SKETCHES = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("uid", pa.binary()), ("size", pa.int32()), ("buckets", pa.list_(pa.int64()))])
 
 
 def _sketch(n_sketches: int, ell: int, k: int):
     def run(batches) -> Iterator[pa.RecordBatch]:
         made, multipliers, codes, seen = TaskContext.get().partitionId() << 40, seeds(n_sketches, "order"), WordCodes(), set()
         for batch in batches:
-            cols: list[list] = [[], [], [], []]
+            cols: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = words(text.as_py())
                 uid = content_key(found)
@@ -144,7 +144,7 @@ def _sketch(n_sketches: int, ell: int, k: int):
                         seen.clear()
                     seen.add(uid)
                     buckets = order_sketches(shingle_codes(word_codes(found, codes), k), multipliers, ell).view(np.int64).tolist()
-                for col, value in zip(cols, (made, doc_id, uid, buckets)):
+                for col, value in zip(cols, (made, doc_id, uid, len(found), buckets)):
                     col.append(value)
                 made += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _SKETCHES)], schema=_SKETCHES)
@@ -160,7 +160,7 @@ def _texts_of(batches):
 
 
 def near_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_sketches: int = 32, ell: int = 5, k: int = 5, threshold: float = 0.8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_sketches: int = 48, ell: int = 7, k: int = 5, threshold: float = 0.8
 ) -> DataFrame:
     """One row per document: doc_id, class_id, class_size, kept.
 
@@ -175,13 +175,13 @@ def near_dedup(
     steps = Steps(docs.sparkSession)
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = steps.write(source.mapInArrow(_sketch(n_sketches, ell, k), SKETCHES))
-    buckets = rows.filter("buckets IS NOT NULL").select("uid", F.explode("buckets").alias("bucket"))
+    buckets = rows.filter("buckets IS NOT NULL").select("uid", "size", F.explode("buckets").alias("bucket"))
 
     def fetch(uids: DataFrame) -> DataFrame:
         first = rows.join(uids, "uid", "left_semi").groupBy("uid").agg(F.min("doc_id").alias("doc_id"))
         return source.join(first, "doc_id").select("uid", "text").mapInArrow(_texts_of, "uid binary, text string").dropDuplicates(["uid"])
 
-    groups = link_groups(buckets, fetch, _prepare, similar_by_alignment(threshold), steps)
+    groups = link_groups(buckets, fetch, _prepare, similar_by_alignment(threshold), threshold, steps)
     return classes(rows, groups, "doc_id")
 
 
