@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from roadcast.llm.common import Steps
 
 LEAST_PARTS, PAIRS_PER_PART = 64, 4096
+FIRST_BUCKETS = 6
 
 
 class WordCodes(dict):
@@ -128,34 +129,38 @@ def link_groups(
 ) -> DataFrame:
     """(uid, comp) of the units linked to another: components of all similar pairs that share a bucket.
 
-    ``buckets``: (bucket, uid, size) rows; units whose sizes are less than ``least_ratio`` apart cannot be similar and are not
-    compared.  ``fetch``: uids to (uid, text).  In each round the first units of a bucket, 1, then 16, 256, .., are its pivots and are compared with all units of the bucket outside their component; then they leave it.  A bucket is done
-    when the units left in it are in one component.  So pairs inside a group of copies are never listed, and every pair
-    of a bucket has been compared or is joined by links already.  Nothing is capped.
+    ``buckets``: (nth, bucket, uid, size) rows, each unit in one bucket per ``nth``; units whose sizes are less than ``least_ratio`` apart cannot
+    be similar and are not compared.  ``fetch``: uids to (uid, text).  In each round the first units of a bucket, 1, then 16, 256, .., are
+    its pivots and are compared with all units of the bucket outside their component; then they leave it.  A bucket is done when the units left
+    in it are in one component.  So pairs inside a group of copies are never listed, and every pair of a bucket has been compared or is joined
+    by links already.  Nothing is capped.  One round over FIRST_BUCKETS of each unit goes ahead: most groups are joined by then, and their other
+    buckets have nothing left to compare.
     """
     counted = buckets.groupBy("bucket").agg(F.min("uid").alias("_low"), F.max("uid").alias("_high")).filter("_low <> _high").select("bucket")
+    early = F.col("nth") < FIRST_BUCKETS
     active, sums = steps.write_and_sum(buckets.join(counted, "bucket").distinct().withColumn("comp", F.col("uid")), n=F.lit(1))
     texts = steps.write(fetch(active.select("uid").distinct()))
     groups = texts.select("uid", F.col("uid").alias("comp")).filter("false")
-    tested, n_pivots = groups.select(F.col("uid").alias("_x"), F.col("comp").alias("_y")), 1
+    tested, n_pivots, ahead = groups.select(F.col("uid").alias("_x"), F.col("comp").alias("_y")), 1, True
     while sums["n"]:
         # the filter on the row number is also applied before the shuffle, so a bucket sends few rows from each task
-        first = active.withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("uid"))).filter(F.col("_r") <= n_pivots)
+        now = active.filter(early) if ahead else active
+        first = now.withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("uid"))).filter(F.col("_r") <= n_pivots)
         pivots = steps.write(first.select("bucket", F.col("uid").alias("a"), F.col("comp").alias("_comp"), F.col("size").alias("_size")))
         is_pivot = pivots.select("bucket", F.col("a").alias("uid"))
         alike = F.least("size", "_size") >= F.greatest("size", "_size") * F.lit(least_ratio - 1e-9)
-        pairs = active.join(pivots, "bucket").filter((F.col("comp") != F.col("_comp")) & alike).select("a", F.least("a", "uid").alias("_x"), F.greatest("a", "uid").alias("_y"))
+        pairs = now.join(pivots, "bucket").filter((F.col("comp") != F.col("_comp")) & alike).select("a", F.least("a", "uid").alias("_x"), F.greatest("a", "uid").alias("_y"))
         pairs = pairs.groupBy("_x", "_y").agg(F.min("a").alias("a")).join(tested, ["_x", "_y"], "left_anti")
         pairs, many = steps.write_and_sum(pairs.select("_x", "_y", "a", F.when(F.col("a") == F.col("_x"), F.col("_y")).otherwise(F.col("_x")).alias("b")), n=F.lit(1))
         found = verified(pairs.select("a", "b"), many["n"], texts, prepare, similar, steps)
         tested = tested.unionByName(pairs.select("_x", "_y"))
         known = groups.select(F.col("uid").alias("a"), F.col("comp").alias("b"))
         groups = steps.write(components(known.unionByName(found), steps))
-        left = active.join(is_pivot, ["bucket", "uid"], "left_anti").select("bucket", "uid", "size")
-        left = left.join(groups, "uid", "left").select("bucket", "uid", "size", F.coalesce("comp", "uid").alias("comp"))
+        left = active.join(is_pivot, ["bucket", "uid"], "left_anti").select("nth", "bucket", "uid", "size")
+        left = left.join(groups, "uid", "left").select("nth", "bucket", "uid", "size", F.coalesce("comp", "uid").alias("comp"))
         split = left.groupBy("bucket").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).filter("_low <> _high").select("bucket")
         before = active
-        active, sums = steps.write_and_sum(left.join(split, "bucket").select("bucket", "uid", "size", "comp"), n=F.lit(1))
+        active, sums = steps.write_and_sum(left.join(split, "bucket").select("nth", "bucket", "uid", "size", "comp"), n=F.lit(1))
         steps.drop(before, pivots)
-        n_pivots *= 16
+        n_pivots, ahead = n_pivots if ahead else n_pivots * 16, False
     return groups
