@@ -89,3 +89,11 @@ def clock(ts, shift_s: int = SINGAPORE_SHIFT_S) -> Column:
     ts = _c(ts)
     minute = cell_of(F.pmod(ts + F.lit(shift_s), F.lit(3600)), 60)
     return F.concat_ws(":", F.lpad(hour_of(ts, shift_s).cast("string"), 2, "0"), F.lpad(minute.cast("string"), 2, "0"))
+
+
+def utc_seconds(col: str) -> Column:
+    """Epoch seconds of a time written as text, whatever the session's zone: without a zone of its own it is UTC; NULL if unreadable."""
+    text = F.trim(F.col(col))
+    zoned = F.when(text.rlike(r":\d{2}(\.\d+)?\s*[A-Za-z+-]"), text)
+    tries = [zoned, F.concat(text, F.lit("Z")), F.concat(text, F.lit("T00:00:00Z"))]
+    return F.unix_seconds(F.coalesce(*[F.try_to_timestamp(t) for t in tries]))

@@ -88,9 +88,15 @@ def current_rows(changes: DataFrame, keys: Sequence[str], order: str, cols: Sequ
     )
 
 
-def update_by_key(base: DataFrame, new: DataFrame, key: str, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(base with the new values where given, one row with the number of updated rows)."""
-    fresh = new.groupBy(key).agg(*[F.max(c).alias(f"_new_{c}") for c in cols], F.lit(True).alias("_hit"))
+def update_by_key(base: DataFrame, new: DataFrame, key: str, cols: Sequence[str], order: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(base with the new values where given, one row with the number of updates that met a row).
+
+    Of several new rows for a key the last by ``order`` counts, without it the largest by ``cols``; its values stay together.
+    """
+    given = F.struct(*cols)
+    best = F.max(given) if order is None else F.max_by(given, F.struct(order, given))
+    fresh = new.groupBy(key).agg(best.alias("_b"), F.count(F.lit(1)).alias("_hit"))
+    fresh = fresh.select(key, *[F.col(f"_b.{c}").alias(f"_new_{c}") for c in cols], "_hit")
     both = base.join(fresh, key, "left")
     updated = both.withColumns({c: F.coalesce(F.col(f"_new_{c}"), F.col(c)) for c in cols}).select(*base.columns)
-    return updated, both.agg(F.count("_hit").alias("n_updated"))
+    return updated, both.agg(F.coalesce(F.sum("_hit"), F.lit(0)).alias("n_updated"))

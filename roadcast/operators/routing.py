@@ -92,9 +92,9 @@ def path_lengths(paths: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def alternative_paths(trips: DataFrame, edges: DataFrame, k: int = MAX_ROUTES, penalty: float = PENALTY) -> DataFrame:
-    """(od_id, alt, hop, node): up to three paths per trip; each path makes its edges longer for the next ones."""
+    """(od_id, alt, hop, node): ``k`` paths per trip; each path makes its edges longer for the next ones."""
     used, out = None, None
-    for alt in range(max(1, min(k, MAX_ROUTES))):
+    for alt in range(max(1, k)):
         paths = cut_lineage(shortest_paths(trips, edges, used, penalty))
         found = paths.withColumn("alt", F.lit(alt)).select("od_id", "alt", "hop", "node")
         out = found if out is None else out.unionByName(found)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadcast.functions.columns import EARTH_RADIUS_M
+from roadcast.functions.columns import EARTH_RADIUS_M, utc_seconds
 from roadcast.session import cut_and_count, cut_lineage
 from roadcast.skew import FIND, MAX_GROUP_ROWS, Hot, hot_keys, join_keys, run_numbers
 
@@ -188,10 +188,11 @@ def fold_incidents(
 
 def with_iso_times(incidents: DataFrame) -> DataFrame:
     """ISO strings in UTC, as written to the cleaned table."""
-    iso = lambda c: F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    wall = lambda c: F.expr(f"CAST(TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {c}) AS STRING)")
+    iso = lambda c: F.concat(F.replace(wall(c), F.lit(" "), F.lit("T")), F.lit("+00:00"))
     return incidents.withColumns({"start_time_utc": iso("start_ts"), "end_time_utc": iso("end_ts")})
 
 
 def iso_to_epoch(col: str):
-    """Epoch seconds of an ISO string; NULL when it cannot be read."""
-    return F.unix_seconds(F.try_to_timestamp(F.col(col)))
+    """Epoch seconds of an ISO string, in UTC when it names no zone; NULL when it cannot be read."""
+    return utc_seconds(col)

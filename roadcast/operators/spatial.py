@@ -14,6 +14,7 @@ from roadcast.session import cut_lineage
 LEAF_DEG = 0.004
 LEVELS = 5  # each level has cells eight times as wide; five levels above the leaf reach 131 degrees
 SLACK_M = 0.01
+LEAST_RING = 16  # a ring of fewer cells is not cut: there the radius spans too many degrees for the slack of the cells
 
 UNMAPPED_NAME = "Ummapped Road"  # fixed value, spelled as served
 UNNAMED_ROAD = "LTA Road"  # fixed value
@@ -41,19 +42,26 @@ def close_pairs(
     mids: DataFrame,
     radius_m: float,
     distance: Callable[..., Column] = haversine_m,
-    max_abs_lat: float = 60.0,
 ) -> DataFrame:
     """Pairs of a point (lat, lon) and a road midpoint (mid_lat, mid_lon) within ``radius_m``, with ``dist_m``.
 
-    Cells are at least the radius wide up to ``max_abs_lat``, so a midpoint copied to the cells around its own meets
-    every point it can reach.
+    The globe is cut into bands of latitude, and each band into equal cells that are at least the radius wide at the farthest latitude
+    of the band and its neighbours.  A midpoint is copied to its own band and the two beside it, in each to the cell of its longitude
+    and the two around it, over the date line too; rings near a pole, of few cells, are one cell.  So it meets every point it can reach.
     """
-    from math import cos, radians
-
-    size_lat = radius_m * 1.02 / 110000.0
-    size_lon = size_lat / cos(radians(max_abs_lat))
-    left = points.withColumns(_grid("lat", "lon", size_lat, size_lon))
-    right = _around(mids.withColumns(_grid("mid_lat", "mid_lon", size_lat, size_lon)))
+    size = radius_m * 1.02 / 110000.0
+
+    def cell(band: Column, lon: str) -> tuple[Column, Column]:
+        far = F.least(F.greatest(F.abs(band), F.abs(band + 1)) * size + size, F.lit(90.0))
+        fit = F.floor(F.lit(360.0 / size) * F.cos(F.radians(far)))
+        n = F.when(fit < LEAST_RING, F.lit(1)).otherwise(fit).cast("bigint")
+        return F.pmod(F.floor((F.col(lon) + 180.0) * n / 360.0).cast("bigint"), n), n
+
+    band = lambda lat: F.floor(F.col(lat) / F.lit(size)).cast("bigint")
+    left = points.withColumn("_ci", band("lat")).withColumn("_cj", cell(F.col("_ci"), "lon")[0])
+    right = mids.withColumn("_ci", F.explode(F.array(*[band("mid_lat") + k for k in (-1, 0, 1)])))
+    at, n = cell(F.col("_ci"), "mid_lon")
+    right = right.withColumn("_cj", F.explode(F.array_distinct(F.array(F.pmod(at - 1, n), at, F.pmod(at + 1, n)))))
     pairs = left.join(right, ["_ci", "_cj"]).drop("_ci", "_cj")
     return pairs.withColumn("dist_m", distance("lat", "lon", "mid_lat", "mid_lon")).filter(F.col("dist_m") <= radius_m)
 

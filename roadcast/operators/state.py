@@ -12,12 +12,13 @@ NOT_AVAILABLE = "N/A"  # fixed value
 
 
 def last_n(readings: DataFrame, n: int = KEEP) -> DataFrame:
-    """(link_id, bands): the last ``n`` bands of each link, newest first.
+    """(link_id, bands): the last ``n`` bands of each link, newest first; readings without a band say nothing, in streams too.
 
     The rank limit is applied before the shuffle as well, so at most ``n`` rows per link and task are moved.
     """
     newest = Window.partitionBy("link_id").orderBy(F.desc("snapshot_ts"), F.desc("id"))
-    top = readings.select("link_id", "snapshot_ts", "id", "speed_band").withColumn("_r", F.row_number().over(newest))
+    rows = readings.select("link_id", "snapshot_ts", "id", "speed_band").filter("speed_band IS NOT NULL")
+    top = rows.withColumn("_r", F.row_number().over(newest))
     top = top.filter(F.col("_r") <= n)
     listed = top.groupBy("link_id").agg(F.sort_array(F.collect_list(F.struct("_r", "speed_band"))).alias("_rows"))
     return listed.select("link_id", F.col("_rows.speed_band").alias("bands"))

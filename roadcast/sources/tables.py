@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadcast import schemas
+from roadcast.functions.columns import utc_seconds
 
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
@@ -52,9 +53,9 @@ def normalise_readings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     A row is rejected when its time cannot be read; numbers that cannot be read become NULL.
     """
     cols = [F.col(c).try_cast(t).alias(c) for c, t in (("id", "bigint"), ("link_id", "bigint"), ("speed_band", "int"), ("min_speed", "int"), ("max_speed", "int"))]
-    parsed = raw.select(*cols, F.unix_seconds(F.try_to_timestamp("snapshot_time")).alias("snapshot_ts"), "snapshot_time")
+    parsed = raw.select(*cols, utc_seconds("snapshot_time").alias("snapshot_ts"), "snapshot_time")
     good = parsed.filter(F.col("snapshot_ts").isNotNull()).drop("snapshot_time")
-    return good, raw.filter(F.try_to_timestamp("snapshot_time").isNull())
+    return good, raw.filter(utc_seconds("snapshot_time").isNull())
 
 
 def road_columns(roads: DataFrame) -> DataFrame:
