@@ -125,20 +125,24 @@ def verified(pairs: DataFrame, n_pairs: int, texts: DataFrame, prepare: Callable
 
 
 def link_groups(
-    buckets: DataFrame, fetch: Callable[[DataFrame], DataFrame], prepare: Callable[[], Prepare], similar: Similar, least_ratio: float, steps: Steps
+    units: DataFrame, fetch: Callable[[DataFrame], DataFrame], prepare: Callable[[], Prepare], similar: Similar, least_ratio: float, steps: Steps
 ) -> DataFrame:
     """(uid, comp) of the units linked to another: components of all similar pairs that share a bucket.
 
-    ``buckets``: (nth, bucket, uid, size) rows, each unit in one bucket per ``nth``; units whose sizes are less than ``least_ratio`` apart cannot
-    be similar and are not compared.  ``fetch``: uids to (uid, text).  In each round the first units of a bucket, 1, then 16, 256, .., are
+    ``units``: (uid, size, buckets), repeated units allowed; units whose sizes are less than ``least_ratio`` apart cannot be similar and are not
+    compared.  Buckets with one unit go first; until then rows are two numbers, a bucket and a code of the unit.  ``fetch``: uids to (uid, text).  In each round the first units of a bucket, 1, then 16, 256, .., are
     its pivots and are compared with all units of the bucket outside their component; then they leave it.  A bucket is done when the units left
     in it are in one component.  So pairs inside a group of copies are never listed, and every pair of a bucket has been compared or is joined
     by links already.  Nothing is capped.  One round over FIRST_BUCKETS of each unit goes ahead: most groups are joined by then, and their other
     buckets have nothing left to compare.
     """
-    counted = buckets.groupBy("bucket").agg(F.min("uid").alias("_low"), F.max("uid").alias("_high")).filter("_low <> _high").select("bucket")
+    code = F.xxhash64("uid").alias("_code")
+    placed = units.select(code, F.posexplode("buckets").alias("nth", "bucket"))
+    shared = placed.groupBy("bucket").agg(F.min("_code").alias("_low"), F.max("_code").alias("_high")).filter("_low <> _high").select("bucket")
+    named = units.select(code, "uid", "size").distinct()
+    found = placed.join(shared, "bucket").distinct().join(named, "_code").select("nth", "bucket", "uid", "size")
     early = F.col("nth") < FIRST_BUCKETS
-    active, sums = steps.write_and_sum(buckets.join(counted, "bucket").distinct().withColumn("comp", F.col("uid")), n=F.lit(1))
+    active, sums = steps.write_and_sum(found.withColumn("comp", F.col("uid")), n=F.lit(1))
     texts = steps.write(fetch(active.select("uid").distinct()))
     groups = texts.select("uid", F.col("uid").alias("comp")).filter("false")
     tested, n_pivots, ahead = groups.select(F.col("uid").alias("_x"), F.col("comp").alias("_y")), 1, True

@@ -175,13 +175,13 @@ def near_dedup(
     steps = Steps(docs.sparkSession)
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = steps.write(source.mapInArrow(_sketch(n_sketches, ell, k), SKETCHES))
-    buckets = rows.filter("buckets IS NOT NULL").select("uid", "size", F.posexplode("buckets").alias("nth", "bucket"))
+    units = rows.filter("buckets IS NOT NULL").select("uid", "size", "buckets")
 
     def fetch(uids: DataFrame) -> DataFrame:
         first = rows.join(uids, "uid", "left_semi").groupBy("uid").agg(F.min("doc_id").alias("doc_id"))
         return source.join(first, "doc_id").select("uid", "text").mapInArrow(_texts_of, "uid binary, text string").dropDuplicates(["uid"])
 
-    groups = link_groups(buckets, fetch, _prepare, similar_by_alignment(threshold), threshold, steps)
+    groups = link_groups(units, fetch, _prepare, similar_by_alignment(threshold), threshold, steps)
     return classes(rows, groups, "doc_id")
 
 
