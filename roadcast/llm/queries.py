@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadcast.llm import chat
+from roadcast.llm.alignment import align_tokenizers
 from roadcast.llm.common import Steps, table
 from roadcast.llm.decontaminate import find_leaks
 from roadcast.llm.exact_dedup import exact_dedup
 from roadcast.llm.language import predict, train
 from roadcast.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS, scan_licenses
+from roadcast.llm.manifest import build_manifest, leaf_digest, proofs
 from roadcast.llm.mixing import mix
 from roadcast.llm.near_dedup import near_dedup
+from roadcast.llm.simhash import simhash_groups
 from roadcast.llm.substring_dedup import find_repeats
 from roadcast.llm.token_output import read_tokens, write_tokens
 from roadcast.llm.url_filter import build_index, judge_urls
@@ -194,3 +197,68 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_token_output"] = op1_token_output
+
+# --- 11: manifest ----------------------------------------------------------------------------------------------------
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    plain = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    altered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, leaf_digest([*plain[:-1], F.translate("text", UPPER, LOWER)]))
+    rows = docs.select(F.col("lang").alias("group"), F.col("doc_id").cast("long").alias("doc_id"), leaf_digest(plain).alias("digest"), altered.alias("altered"))
+    return proofs(build_manifest(rows)).drop("path")
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_CRC_BIT = "xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384::BIGINT ELSE 0 END)"
+_CRC_BYTE = f"list_reduce(range(8), lambda x, k: {_CRC_BIT}, xor(c, b))"
+_CRC = f"xor(4294967295::BIGINT, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ascii(d)::BIGINT), lambda c, b: {_CRC_BYTE}, 4294967295::BIGINT))"
+
+
+def _climb_sql(name: str, start: str) -> str:
+    return f"""{name}(tree, level, pos, n, digest) AS ({start}
+  UNION ALL SELECT tree, level + 1, pos // 8, max((n + 7) // 8), sha256(string_agg(digest, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 8),
+{name}_kin AS (SELECT a.tree, a.level, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM {name} a JOIN {name} b ON a.tree = b.tree AND a.level = b.level AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY a.tree, a.level, a.pos)"""
+
+
+_MANIFEST_SQL = f"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS row, doc_id, lang, {_leaf_sql('text')} AS leaf,
+  CASE WHEN {_CRC} % 3 = 0 THEN {_leaf_sql(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf_sql('text')} END AS told FROM documents),
+langs AS (SELECT lang, count(*) AS n, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree FROM docs GROUP BY lang),
+leaves AS (SELECT row, doc_id, leaf, told, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM docs JOIN langs ON docs.lang IS NOT DISTINCT FROM langs.lang),
+{_climb_sql('low', "SELECT tree, 0::BIGINT, pos, n, leaf FROM leaves")},
+{_climb_sql('top', "SELECT -1::BIGINT, 0::BIGINT, tree, count(*) OVER (), digest FROM low WHERE n = 1")},
+up(row, tree, level, pos, proof, told) AS (SELECT row, tree, 0::BIGINT, pos, '', told FROM leaves
+  UNION ALL SELECT row, tree, level + 1, pos // 8, proof || l || r, sha256(l || told || r) FROM up JOIN low_kin USING (tree, level, pos)),
+over(row, tree, level, pos, proof, told) AS (SELECT row, -1::BIGINT, 0::BIGINT, tree, proof, told FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY level DESC) AS k FROM up) WHERE k = 1
+  UNION ALL SELECT row, tree, level + 1, pos // 8, proof || l || r, sha256(l || told || r) FROM over JOIN top_kin USING (tree, level, pos)),
+whole AS (SELECT row, proof, told FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY level DESC) AS k FROM over) WHERE k = 1)
+SELECT doc_id, leaf, low.digest AS subroot, top.digest AS root, sha256(proof) AS proof_sha256, whole.told AS folded_root, whole.told = top.digest AS verified
+FROM leaves JOIN whole USING (row) JOIN low ON low.tree = leaves.tree AND low.n = 1 JOIN top ON top.n = 1"""
+
+QUERIES["op11_manifest"] = op11_manifest
+ORACLES["op11_manifest"] = _MANIFEST_SQL
+
+# --- 12, 13: near copies by SimHash and tokens that end together; against brute force ----------------------------------
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES["op12_simhash"] = op12_simhash
+QUERIES["op13_alignment"] = op13_alignment
