@@ -6,12 +6,12 @@ from collections.abc import Iterator, Sequence
 from math import atan2, cos, radians, sin, sqrt
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadcast.functions.columns import EARTH_RADIUS_M, utc_seconds
-from roadcast.session import cut_and_count, cut_lineage
-from roadcast.skew import FIND, MAX_GROUP_ROWS, Hot, hot_keys, join_keys, run_numbers
+from roadcast.session import cut_lineage
+from roadcast.skew import FIND, MAX_GROUP_ROWS, Hot, run_numbers
 
 MAX_GAP_MIN = 15  # fixed value
 RADIUS_M = 200.0  # fixed value
@@ -40,128 +40,201 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), col)
 
 
-def _components(links: DataFrame) -> DataFrame:
-    """Connected components of the bipartite table (node, hub): (node, comp), comp = least node id.
+# --- the fold -----------------------------------------------------------------------------------------------------------
 
-    Each round takes the least label over every hub and then follows labels of labels, so the number of rounds grows with
-    the logarithm of the longest chain.  Rounds start from files in the shared folder.
-    """
-    links = cut_lineage(links)
-    labels = links.select("node", F.col("node").alias("comp"), F.lit(True).alias("moved")).distinct()
-    while True:
-        low = links.join(labels, "node").groupBy("hub").agg(F.min("comp").alias("comp"))
-        seen = links.join(low, "hub").groupBy("node").agg(F.min("comp").alias("comp"))
-        seen = cut_lineage(seen.join(labels.select("node", F.col("comp").alias("_old")), "node"))
-        jump = seen.select(F.col("node").alias("comp"), F.col("comp").alias("_next"))
-        labels = seen.join(jump, "comp").select("node", F.col("_next").alias("comp"), (F.col("_next") != F.col("_old")).alias("moved"))
-        labels, counts = cut_and_count(labels, moved="moved")
-        if not counts["moved"]:
-            return labels.drop("moved")
+TILE_RADII = 40  # a tile is that many radii high and at least as wide
+BLOCK_ROWS = 250_000  # a tile with more rows is cut at whole hours
+LEAST_RING = 16  # a ring of fewer tiles is one tile: near a pole the radius spans too many degrees
+
+_REGION = ["_none", "_type", "_tb", "_tc", "_blk"]
+_WALKED = (
+    "_none BOOLEAN, _type STRING, _tb BIGINT, _tc BIGINT, _blk BIGINT, row_id BIGINT, snapshot_ts BIGINT, first_row BIGINT, first_ts BIGINT, first_lat DOUBLE, first_lon DOUBLE"
+)
 
 
 def _metres(lat1, lon1, lat2, lon2) -> float:
     a = sin(radians(lat2 - lat1) / 2) ** 2 + cos(radians(lat1)) * cos(radians(lat2)) * sin(radians(lon2 - lon1) / 2) ** 2
-    return 2 * EARTH_RADIUS_M * atan2(sqrt(a), sqrt(1 - a))
-
-
-_ASSIGNED = "row_id BIGINT, type STRING, lat DOUBLE, lon DOUBLE, message STRING, snapshot_ts BIGINT, first_row BIGINT"
-
-
-def _assigner(max_gap_s: float, radius_m: float):
-    """Give each row of a component, in time order, the row that opened its incident."""
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        comp, ongoing = None, []  # ongoing: [first_row, lat, lon, last_seen], oldest first
+    return 2 * EARTH_RADIUS_M * atan2(sqrt(a), sqrt(max(0.0, 1 - a)))
+
+
+def _tile_degrees(radius_m: float) -> float:
+    return TILE_RADII * _reach(radius_m)
+
+
+def _reach(radius_m: float) -> float:
+    """Degrees of latitude that the radius spans, with some to spare."""
+    return radius_m * 1.02 / 110000.0
+
+
+def _tile(lat: Column, lon: Column, size: float) -> tuple[Column, Column]:
+    """Band of latitude and cell on it; the cells of a band are at least ``size`` wide at its farthest latitude and go around the globe."""
+    band = F.floor(lat / F.lit(size)).cast("bigint")
+    far = F.least(F.greatest(F.abs(band), F.abs(band + 1)) * size, F.lit(90.0))
+    fit = F.floor(F.lit(360.0 / size) * F.cos(F.radians(far)))
+    n = F.when(fit < LEAST_RING, F.lit(1)).otherwise(fit).cast("bigint")
+    return band, F.pmod(F.floor((lon + 180.0) * n / 360.0).cast("bigint"), n)
+
+
+class _Open:
+    """Ongoing incidents by cells as wide as the radius: id -> [lat, lon, first time, last seen, cell]."""
+
+    def __init__(self, max_gap_s: float, radius_m: float):
+        self.gap, self.radius, self.step = max_gap_s, radius_m, _reach(radius_m)
+        self.known: dict[int, list] = {}
+        self.cells: dict[tuple[int, int], list[int]] = {}
+
+    def _column(self, i: int, lon: float) -> tuple[int, int]:
+        """Place of ``lon`` among the cells of row ``i``, and how many there are; wide enough for the row and those beside it."""
+        far = min(90.0, (max(abs(i), abs(i + 1)) + 1) * self.step)
+        n = int(360.0 / self.step * cos(radians(far)))
+        n = 1 if n < LEAST_RING else n
+        return int((lon + 180.0) * n // 360.0) % n, n
+
+    def add(self, key: int, lat: float, lon: float, since: int, seen: int) -> None:
+        i = int(lat // self.step)
+        cell = (i, self._column(i, lon)[0])
+        self.known[key] = [lat, lon, since, seen, cell]
+        self.cells.setdefault(cell, []).append(key)
+
+    def saw(self, key: int, lat: float, lon: float, since: int, seen: int) -> None:
+        if key in self.known:
+            self.known[key][3] = seen
+        else:
+            self.add(key, lat, lon, since, seen)
+
+    def nearest(self, lat: float, lon: float, now: int) -> int | None:
+        best = None
+        row = int(lat // self.step)
+        for i in (row - 1, row, row + 1):
+            j, n = self._column(i, lon)
+            for k in {(j - 1) % n, j, (j + 1) % n}:
+                held = self.cells.get((i, k))
+                for key in tuple(held or ()):
+                    incident = self.known[key]
+                    if now - incident[3] > self.gap:
+                        held.remove(key)
+                        del self.known[key]
+                        continue
+                    m = _metres(lat, lon, incident[0], incident[1])
+                    if m <= self.radius and (best is None or (m, incident[2], key) < best):
+                        best = (m, incident[2], key)
+        return None if best is None else best[2]
+
+
+def _walk(max_gap_s: float, radius_m: float):
+    """Decide the rows of a region in time order; rows that other regions have decided only keep their incident open."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        region, ongoing = None, _Open(max_gap_s, radius_m)
         for batch in batches:
-            first_rows = []
+            first = []
             for row in batch.itertuples(index=False):
-                if row.comp != comp:
-                    comp, ongoing = row.comp, []
-                ongoing = [inc for inc in ongoing if row.snapshot_ts - inc[3] <= max_gap_s]
-                near = [(_metres(row.lat, row.lon, inc[1], inc[2]), n) for n, inc in enumerate(ongoing)]
-                near = [pair for pair in near if pair[0] <= radius_m]
-                if near:
-                    incident = ongoing[min(near)[1]]
-                else:
-                    incident = [row.row_id, row.lat, row.lon, row.snapshot_ts]
-                    ongoing.append(incident)
+                if (here := row[:5]) != region:
+                    region, ongoing = here, _Open(max_gap_s, radius_m)
+                if not row.own:
+                    ongoing.saw(row.first_row, row.first_lat, row.first_lon, row.first_ts, row.snapshot_ts)
+                    continue
+                key = ongoing.nearest(row.lat, row.lon, row.snapshot_ts)
+                if key is None:
+                    key = row.row_id
+                    ongoing.add(key, row.lat, row.lon, row.snapshot_ts, row.snapshot_ts)
+                incident = ongoing.known[key]
                 incident[3] = row.snapshot_ts
-                first_rows.append(incident[0])
-            out = batch.drop(columns="comp")
-            out["first_row"] = first_rows
-            yield out
-
-    return assign
+                first.append((key, incident[2], incident[0], incident[1]))
+            out = batch.loc[batch["own"], [*_REGION, "row_id", "snapshot_ts"]].reset_index(drop=True)
+            yield out.join(pd.DataFrame(first, columns=["first_row", "first_ts", "first_lat", "first_lon"]))
+
+    return run
+
+
+def _regions(rows: DataFrame, block_rows: int) -> DataFrame:
+    """Add ``_blk``: 0, or the part of a tile with more than ``block_rows`` rows; parts are cut at whole hours."""
+    tile = _REGION[:-1]
+    counts = rows.groupBy(*tile).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block_rows)
+    if counts.isEmpty():
+        return rows.withColumn("_blk", F.lit(0).cast("bigint"))
+    hour = F.floor(F.col("snapshot_ts") / 3600).cast("bigint")
+    hours = rows.join(counts.drop("_n"), tile, "left_semi").groupBy(*tile, hour.alias("_hour")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*tile).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = hours.select(*tile, "_hour", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / block_rows).cast("bigint").alias("_blk"))
+    placed = rows.withColumn("_hour", hour).join(blocks, [*tile, "_hour"], "left")
+    return placed.drop("_hour").withColumn("_blk", F.coalesce("_blk", F.lit(0).cast("bigint")))
+
+
+def _inbox(decided: DataFrame, spans: DataFrame, radius_m: float, gap_s: float) -> DataFrame:
+    """Decided rows for every other region that their incident can matter to: a tile within the radius of the incident's place,
+    a block whose rows come at most the gap after."""
+    size, reach = _tile_degrees(radius_m), _reach(radius_m)
+    lat, lon = F.col("first_lat"), F.col("first_lon")
+    wide = F.lit(reach) / F.greatest(F.cos(F.radians(F.least(F.abs(lat) + reach, F.lit(90.0)))), F.lit(1e-3))
+    spots = [(F.greatest(F.least(lat + a * reach, F.lit(90.0)), F.lit(-90.0)), lon + wide * b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+    tiles = F.array_distinct(F.array(*[F.struct(b.alias("b"), c.alias("c")) for b, c in (_tile(*spot, size) for spot in spots)]))
+    sent = decided.withColumnsRenamed({"_tb": "_ob", "_tc": "_oc", "_blk": "_oblk"}).withColumn("_t", F.explode(tiles))
+    sent = sent.withColumns({"_tb": F.col("_t.b"), "_tc": F.col("_t.c")}).join(spans, _REGION[:-1])
+    elsewhere = (F.col("_tb") != F.col("_ob")) | (F.col("_tc") != F.col("_oc")) | (F.col("_blk") != F.col("_oblk"))
+    sent = sent.filter(elsewhere & (F.col("snapshot_ts") <= F.col("_till")) & (F.col("snapshot_ts") >= F.col("_from") - F.lit(gap_s)))
+    return sent.select(*_REGION, "row_id", "snapshot_ts", "first_row", "first_ts", "first_lat", "first_lon")
 
 
 def assign_incidents(
     snapshots: DataFrame,
     max_gap_min: float = MAX_GAP_MIN,
     radius_m: float = RADIUS_M,
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Snapshot rows with ``first_row``, the row id that opened the incident they belong to.
 
     A row joins the nearest incident of its type that was seen at most ``max_gap_min`` ago and opened within
-    ``radius_m``, else it opens one.  The outcome depends on the row order, but only among rows that can touch each
-    other: all rows of an incident lie in the 3 x 3 cells around its first position, each within the gap of the one
-    before it.  So rows are split by connected components in space and time:
-
-    1. copies (same type, place and time) cannot change the outcome and are folded to the first one;
-    2. rows of a (type, cell) with no longer gap form a run;
-    3. runs are copied to the nine cells around them, and the runs that meet there without a longer gap are linked;
-    4. connected components of runs are walked in time order, in batches, keeping only the ongoing incidents.
+    ``radius_m``, else it opens one.  Equal distances go to the incident that opened first.  Rows follow each other by time and row id.
+
+    The globe is cut into tiles, and tiles with more than ``max_rows`` rows of a type at whole hours.  Each such region is walked in time order on its own.  Then it is
+    told what others have decided about incidents within its reach, and walked again if that has changed.  A row depends on earlier
+    rows only, so the rounds end, and where nothing changes any more every row is decided as if all had been walked in one list.
+    Regions that touch no other are walked once; only the ongoing incidents of a region are in memory.
+
+    Rows without a position (NULL or NaN) open an incident each.  A NULL type is a type.  Every row comes back, also repeated ones.
     """
     gap_s = max_gap_min * 60
-    cells_lat = radius_m * 1.02 / 110000.0
-    cells_lon = cells_lat / cos(radians(60.0))
     placed = F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~F.isnan("lat") & ~F.isnan("lon")
-    cells = snapshots.filter(placed).withColumns(
-        {
-            "_ci": F.floor(F.col("lat") / cells_lat).cast("bigint"),
-            "_cj": F.floor(F.col("lon") / cells_lon).cast("bigint"),
-        }
-    )
-    hot = hot_keys(cells, ["type", "_ci", "_cj"], max_rows)
-    rows = cells.groupBy("type", "_ci", "_cj", "lat", "lon", "snapshot_ts").agg(
-        F.min("row_id").alias("row_id"), F.min_by("message", "row_id").alias("message")
-    )
-    rows = gap_sessions(rows, ["type", "_ci", "_cj"], "snapshot_ts", "row_id", max_gap_min, "_run", max_rows, hot)
-    rows = cut_lineage(rows)
-    run_key = ["type", "_ci", "_cj", "_run"]
-    runs = rows.groupBy(*run_key).agg(
-        F.min("row_id").alias("node"), F.min("snapshot_ts").alias("_from"), F.max("snapshot_ts").alias("_till")
-    )
-    steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    spread = runs.withColumn("_d", F.explode(steps)).select(
-        "type", (F.col("_ci") + F.col("_d.a")).alias("_hi"), (F.col("_cj") + F.col("_d.b")).alias("_hj"), "node", "_from", "_till"
-    )
-    hub_key = ["type", "_hi", "_hj"]
-    earlier = Window.partitionBy(*hub_key).orderBy("_from", "node").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*hub_key).orderBy("_from", "node").rowsBetween(Window.unboundedPreceding, 0)
-    spread = spread.withColumn("_seen", F.max("_till").over(earlier))
-    opens = (F.col("_seen").isNull() | (F.col("_from") - F.col("_seen") > gap_s)).cast("bigint")
-    spread = spread.withColumn("_opens", opens).withColumn("_part", F.sum("_opens").over(upto))
-    links = spread.select("node", F.struct(F.isnull("type").alias("_none"), F.coalesce("type", F.lit("")).alias("_type"), "_hi", "_hj", "_part").alias("hub"))
-    comps = runs.join(_components(links), "node").select(*run_key, "comp")
-    ordered = (
-        join_keys(rows, comps, run_key)
-        .select("row_id", "type", "lat", "lon", "message", "snapshot_ts", "comp")
-        .repartition("comp")
-        .sortWithinPartitions("comp", "snapshot_ts", "row_id")
-    )
-    walked = ordered.mapInPandas(_assigner(gap_s, radius_m), _ASSIGNED)
-    # A row without a position is never within the radius of anything: each opens an incident of its own.
-    lone = snapshots.filter(~F.coalesce(placed, F.lit(False)))
-    lone = lone.select("row_id", "type", "lat", "lon", "message", "snapshot_ts", F.col("row_id").alias("first_row"))
-    return walked.unionByName(lone)
+    band, cell = _tile(F.col("lat"), F.col("lon"), _tile_degrees(radius_m))
+    kind = {"_none": F.isnull("type"), "_type": F.coalesce("type", F.lit("")), "_tb": band, "_tc": cell}
+    rows = snapshots.filter(placed).withColumns(kind).select(*_REGION[:-1], "row_id", "snapshot_ts", "lat", "lon")
+    rows = cut_lineage(_regions(cut_lineage(rows), max_rows))
+    spans = cut_lineage(rows.groupBy(*_REGION).agg(F.min("snapshot_ts").alias("_from"), F.max("snapshot_ts").alias("_till")))
+
+    def walked(own: DataFrame, told: DataFrame | None) -> DataFrame:
+        nothing = {c: F.lit(0).cast(t) for c, t in (("first_row", "bigint"), ("first_ts", "bigint"), ("first_lat", "double"), ("first_lon", "double"))}
+        mixed = own.withColumns(nothing).withColumn("own", F.lit(True))
+        if told is not None:
+            mixed = mixed.unionByName(told.withColumns({"own": F.lit(False), "lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")}))
+        mixed = mixed.select(*_REGION, "row_id", "snapshot_ts", "lat", "lon", "own", "first_row", "first_ts", "first_lat", "first_lon")
+        return mixed.repartition(*_REGION).sortWithinPartitions(*_REGION, "snapshot_ts", "row_id").mapInPandas(_walk(gap_s, radius_m), _WALKED)
+
+    decided, told_before = cut_lineage(walked(rows, None)), None
+    while True:
+        told = cut_lineage(_inbox(decided, spans, radius_m, gap_s))
+        digest = F.sum(F.pmod(F.xxhash64("row_id", "first_row"), F.lit(1 << 40))).alias("_sum")
+        now = told.groupBy(*_REGION).agg(F.count(F.lit(1)).alias("_n"), digest)
+        if told_before is None:
+            changed = now.select(*_REGION)
+        else:
+            changed = now.exceptAll(told_before).select(*_REGION).unionByName(told_before.exceptAll(now).select(*_REGION)).distinct()
+        changed = cut_lineage(changed)
+        if changed.isEmpty():
+            break
+        again = walked(rows.join(changed, _REGION, "left_semi"), told.join(changed, _REGION, "left_semi"))
+        decided = cut_lineage(again.unionByName(decided.join(changed, _REGION, "left_anti")))
+        told_before = now
+    named = snapshots.select("row_id", "type", "lat", "lon", "message", "snapshot_ts")
+    # A row without a position is never within the radius of anything.
+    return named.join(decided.select("row_id", "first_row"), "row_id", "left").withColumn("first_row", F.coalesce("first_row", "row_id"))
 
 
 def fold_incidents(
     snapshots: DataFrame,
     max_gap_min: float = MAX_GAP_MIN,
     radius_m: float = RADIUS_M,
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One row per incident: place and message of its first row, start, end, duration.
 

@@ -561,16 +561,43 @@ def _cells(df):
     return df.withColumns({"cell_i": F.floor(F.col("lat") * 200), "cell_j": F.floor(F.col("lon") * 200)})
 
 
+_GAP_SQL = """SELECT row_id, type, cell_i, cell_j, CAST(sum(s) OVER (PARTITION BY type, cell_i, cell_j ORDER BY snapshot_ts, row_id) AS BIGINT) AS session_no FROM (
+ SELECT *, CASE WHEN snapshot_ts - lag(snapshot_ts) OVER (PARTITION BY type, cell_i, cell_j ORDER BY snapshot_ts, row_id) <= {gap} THEN 0 ELSE 1 END AS s
+ FROM (SELECT *, CAST(floor(lat * 200) AS BIGINT) AS cell_i, CAST(floor(lon * 200) AS BIGINT) AS cell_j FROM {{incident_snapshots}}) a) b"""
 register(
     "gap_sessions",
     lambda spark, d: ss.gap_sessions(
         _cells(view(spark, d, "incident_snapshots")), ["type", "cell_i", "cell_j"], "snapshot_ts", "row_id", GAP_MIN
     ).select("row_id", "type", "cell_i", "cell_j", "session_no"),
-    f"""SELECT row_id, type, cell_i, cell_j, CAST(sum(s) OVER (PARTITION BY type, cell_i, cell_j ORDER BY snapshot_ts, row_id) AS BIGINT) AS session_no FROM (
- SELECT *, CASE WHEN snapshot_ts - lag(snapshot_ts) OVER (PARTITION BY type, cell_i, cell_j ORDER BY snapshot_ts, row_id) <= {GAP_MIN * 60} THEN 0 ELSE 1 END AS s
- FROM (SELECT *, CAST(floor(lat * 200) AS BIGINT) AS cell_i, CAST(floor(lon * 200) AS BIGINT) AS cell_j FROM {{incident_snapshots}}) a) b""",
+    _GAP_SQL.format(gap=GAP_MIN * 60),
+)
+
+
+def _fold_sql(gap_min: int) -> str:
+    """One row of each type per step, with the list of its ongoing incidents."""
+    metres = _sql_haversine("s.lat", "s.lon", "x.lat", "x.lon")
+    return f"""
+WITH RECURSIVE seq AS (SELECT *, row_number() OVER (PARTITION BY type ORDER BY snapshot_ts, row_id) AS n FROM {{incident_snapshots}}),
+walk(type, n, row_id, first_row, ongoing) AS (
+ SELECT DISTINCT type, 0::BIGINT, NULL::BIGINT, NULL::BIGINT, []::STRUCT(id BIGINT, lat DOUBLE, lon DOUBLE, seen BIGINT)[] FROM seq
+ UNION ALL SELECT type, n, row_id, coalesce(near.id, row_id), CASE WHEN near IS NULL THEN list_append(alive, struct_pack(id := row_id, lat := lat, lon := lon, seen := snapshot_ts))
+   ELSE list_transform(alive, lambda x: struct_pack(id := x.id, lat := x.lat, lon := x.lon, seen := CASE WHEN x.id = near.id THEN snapshot_ts ELSE x.seen END)) END
+ FROM (SELECT *, list_min(list_filter(list_transform(alive, lambda x, i: struct_pack(m := {metres.replace("s.lat", "lat").replace("s.lon", "lon")}, i := i, id := x.id)), lambda y: y.m <= 200)) AS near
+  FROM (SELECT s.*, list_filter(w.ongoing, lambda x: s.snapshot_ts - x.seen <= {gap_min * 60}) AS alive FROM walk w JOIN seq s ON s.type IS NOT DISTINCT FROM w.type AND s.n = w.n + 1) a) b)
+SELECT w.first_row AS incident_id, any_value(s.type) AS type, arg_min(s.lat, (s.snapshot_ts, s.row_id)) AS lat, arg_min(s.lon, (s.snapshot_ts, s.row_id)) AS lon, min(s.snapshot_ts) AS start_ts,
+ max(s.snapshot_ts) AS end_ts, (max(s.snapshot_ts) - min(s.snapshot_ts)) / CAST(60 AS DOUBLE) AS duration_min, arg_min(struct_pack(m := s.message), (s.snapshot_ts, s.row_id)).m AS message
+FROM walk w JOIN seq s ON s.row_id = w.row_id GROUP BY w.first_row"""
+
+
+register("fold_incidents", lambda spark, d: ss.fold_incidents(view(spark, d, "incident_snapshots"), GAP_MIN), _fold_sql(GAP_MIN))
+register("fold_incidents_quarter_hour", lambda spark, d: ss.fold_incidents(view(spark, d, "incident_snapshots")), _fold_sql(ss.MAX_GAP_MIN))
+register(
+    "gap_sessions_quarter_hour",
+    lambda spark, d: ss.gap_sessions(_cells(view(spark, d, "incident_snapshots")), ["type", "cell_i", "cell_j"], "snapshot_ts", "row_id").select(
+        "row_id", "type", "cell_i", "cell_j", "session_no"
+    ),
+    _GAP_SQL.format(gap=ss.MAX_GAP_MIN * 60),
 )
-register("fold_incidents", lambda spark, d: ss.fold_incidents(view(spark, d, "incident_snapshots"), GAP_MIN))
 register(
     "incident_iso_times",
     lambda spark, d: ss.with_iso_times(view(spark, d, "incidents")).select(

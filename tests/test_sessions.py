@@ -3,6 +3,7 @@ import random
 from conftest import rows
 from math import atan2, cos, radians, sin, sqrt
 
+from roadcast.operators import sessions
 from roadcast.operators.sessions import assign_incidents, fold_incidents, iso_to_epoch, with_iso_times
 
 SNAP = "row_id BIGINT, type STRING, lat DOUBLE, lon DOUBLE, message STRING, snapshot_ts BIGINT"
@@ -44,13 +45,8 @@ def test_fold_equals_the_sequential_walk(spark):
     data += [(2000 + n, "Accident", None, None, None, 600) for n in range(2)]
     snaps = spark.createDataFrame(data, SNAP)
     owner = one_by_one(data, 900, 200.0)
-    seen_first = {}
-    for row in data:
-        seen_first.setdefault((row[1:4], row[5]), row[0])
-    for limit in (4_000_000, 40):
-        got = {r.row_id: r.first_row for r in assign_incidents(snaps, max_rows=limit).collect()}
-        assert all(owner[row_id] == first for row_id, first in got.items())
-        assert set(owner.values()) == set(got.values())
+    for limit in (250_000, 120):
+        assert {r.row_id: r.first_row for r in assign_incidents(snaps, max_rows=limit).collect()} == owner
     folded = fold_incidents(snaps).collect()
     by_id = {r[0]: r for r in data}
     assert {r.incident_id for r in folded} == set(owner.values())
@@ -60,6 +56,46 @@ def test_fold_equals_the_sequential_walk(spark):
         assert (r.lat, r.lon, r.message) == (by_id[r.incident_id][2], by_id[r.incident_id][3], by_id[r.incident_id][4])
 
 
+def spread(rng, n, lat, lon, kind, first, width=0.02):
+    """Rows that drift over tile edges: a chain of reports that reaches from one end to the other."""
+    return [
+        (first + k, kind, lat + rng.random() * width, ((lon + rng.random() * width / max(0.02, cos(radians(lat))) + 180) % 360) - 180, None, rng.randrange(0, 40_000))
+        for k in range(n)
+    ]
+
+
+def test_chained_reports_over_many_tiles(spark, monkeypatch):
+    """One type without a gap anywhere, so that all rows hang together; tiles of five radii, several tasks."""
+    monkeypatch.setattr(sessions, "TILE_RADII", 5)
+    rng = random.Random(5)
+    data = spread(rng, 900, 1.3, 103.8, "Heavy Traffic", 0) + [(5000 + n, "Heavy Traffic", 1.31, 103.81, "m", 40 * n) for n in range(300)]
+    snaps = spark.createDataFrame(data, SNAP)
+    got = {r.row_id: r.first_row for r in assign_incidents(snaps, max_rows=100).collect()}
+    assert got == one_by_one(data, 900, 200.0)
+
+
+def test_far_north_date_line_and_poles(spark, monkeypatch):
+    rng = random.Random(8)
+    data = spread(rng, 250, 82.0, 25.0, "A", 0) + spread(rng, 250, -17.0, 179.99, "A", 1000) + spread(rng, 120, 89.97, 0.0, "B", 2000) + spread(rng, 120, -89.985, 100.0, "B", 3000, 0.01)
+    for radii in (40, 4):
+        monkeypatch.setattr(sessions, "TILE_RADII", radii)
+        got = {r.row_id: r.first_row for r in assign_incidents(spark.createDataFrame(data, SNAP)).collect()}
+        assert got == one_by_one(data, 900, 200.0)
+
+
+def test_fifty_incidents_at_82_degrees(spark):
+    east = lambda n, m: 20.0 + n * 0.2 + m / (111194.926645 * cos(radians(82.0)))
+    data = [(2 * n + k, "A", 82.0, east(n, 150.0 * k), None, 60 * k) for n in range(50) for k in (0, 1)]
+    assert fold_incidents(spark.createDataFrame(data, SNAP)).count() == 50
+
+
+def test_copies_of_a_row_and_empty_table(spark):
+    data = [(1, "A", 1.3, 103.8, "x", 0), (2, "A", 1.3, 103.8, "y", 0), (3, None, None, 1.0, None, None), (4, "A", float("nan"), 1.0, None, 5)]
+    snaps = spark.createDataFrame(data, SNAP)
+    assert {r.row_id: r.first_row for r in assign_incidents(snaps).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert fold_incidents(snaps.filter("FALSE")).collect() == []
+
+
 def test_gap_and_distance_limits(spark):
     north = lambda m: 1.3 + m / 111194.926645
     data = [
