@@ -5,53 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadcast.functions.columns import cell_of
+from roadcast.operators.cover import cover_table, interval_pieces, look_up
 from roadcast.skew import spread_join
 
-BLOCK_S = 3600
+FOREVER_S = 1 << 36  # two thousand years: how long a station's last value holds
 
 
-def asof_rain(
-    df: DataFrame, mapping: DataFrame, rain: DataFrame, block_s: int = BLOCK_S, hot: DataFrame | None = None
-) -> DataFrame:
+def asof_rain(df: DataFrame, mapping: DataFrame, rain: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Latest rain value at or before each reading, from the station nearest to its link.
 
-    Rain is listed per (station, hour), each list opening with the value carried in from the hours before; with one value
-    per second at most, a list has no more than ``block_s`` + 1 entries.  Readings meet their list in an equi join and are
-    neither sorted nor grouped; a station with a large share of them is spread over its hours, and the join splits what is left.
+    A value holds until the second before the station's next one.  These intervals are looked up like incidents (:mod:`roadcast.operators.cover`): a value that holds for years
+    becomes a few dozen aligned spans, rain is aggregated once, and readings are neither sorted nor grouped.  Readings of one station meet its
+    rain by (station, 2,048 seconds), so a station with a large share of them is spread over its time.
+
+    Of values at the same second the largest holds.  A NULL value holds like any other.  Links without a station, and readings before its first value, get NULL.
     """
     values = rain.groupBy("station_id", "ts").agg(F.max("rain_mm").alias("rain_mm"))
-    values = values.withColumn("_block", cell_of("ts", block_s))
-    blocks = values.groupBy("station_id", "_block").agg(
-        F.collect_list(F.struct("ts", "rain_mm")).alias("_rows"),
-        F.max_by("rain_mm", "ts").alias("_last"),
-        F.max("ts").alias("_last_ts"),
-    )
-    # At most one row per station and hour is left to order here.
-    by_hour = Window.partitionBy("station_id").orderBy("_block")
-    blocks = blocks.withColumns(
-        {
-            "_carry": F.lag(F.struct(F.col("_last_ts").alias("ts"), F.col("_last").alias("rain_mm"))).over(by_hour),
-            "_next": F.lead("_block").over(by_hour),
-        }
-    )
-    head = F.when(F.col("_carry").isNull(), F.array().cast("array<struct<ts:bigint,rain_mm:double>>")).otherwise(F.array("_carry"))
-    filled = blocks.select("station_id", "_block", F.concat(head, F.sort_array("_rows")).alias("_rain"))
-    own = F.struct(F.col("_last_ts").alias("ts"), F.col("_last").alias("rain_mm"))
-    gaps = (
-        blocks.filter(F.col("_next") - F.col("_block") > 1)
-        .withColumn("_fill", F.explode(F.sequence(F.col("_block") + 1, F.col("_next") - 1)))
-        .select("station_id", F.col("_fill").alias("_block"), F.array(own).alias("_rain"))
-    )
-    final = blocks.filter(F.col("_next").isNull()).select(
-        "station_id", F.col("_block").alias("_end_block"), F.col("_last").alias("_end_mm")
-    )
-    stations = mapping.select("link_id", F.col("nearest_station_id").alias("station_id")).join(final, "station_id", "left")
+    # one row per station and second at most is left to order here
+    following = F.lead("ts").over(Window.partitionBy("station_id").orderBy("ts"))
+    values = values.select("station_id", F.col("ts").alias("start_ts"), F.coalesce(following - 1, F.col("ts") + FOREVER_S).alias("end_ts"), "rain_mm")
+    pieces = interval_pieces(values, ["station_id"], {"_mm": (F.col("rain_mm"), "max")})
+    cover = cover_table(pieces, ["station_id"], ["_mm"])
+    stations = mapping.select("link_id", F.col("nearest_station_id").alias("station_id"))
     rows = spread_join(df, stations, ["link_id"], "link_id", hot)
-    rows = rows.withColumn("_block", cell_of("snapshot_ts", block_s))
-    rows = rows.join(filled.unionByName(gaps), ["station_id", "_block"], "left")
-    before = F.filter("_rain", lambda r: r["ts"] <= F.col("snapshot_ts"))
-    last = F.when(F.size(before) > 0, F.element_at(before, -1)["rain_mm"])
-    mm = F.when(F.col("_block") > F.col("_end_block"), F.col("_end_mm")).otherwise(last)
-    out = rows.withColumn("rain_mm", mm)
+    out = look_up(rows, cover, ["station_id"], {"_mm": "max"}).withColumn("rain_mm", F.col("_mm"))
     return out.select(*df.columns, "rain_mm", (F.col("rain_mm") > 0).cast("int").alias("is_raining"))

@@ -1,10 +1,12 @@
 """Which intervals cover a point in time: the shared core of all incident features.
 
-Intervals are cut at the edges of hourly cells and equal pieces are merged, with their aggregates, before anything
-is collected.  A piece that begins and ends inside an hour is cut again every five minutes.  Times are whole seconds, so an hour
-has at most 3,600 pieces that begin with it, 3,600 that end with it and 12 x 45,451 shorter ones: the list kept per
-(key, cell) is bounded, whatever number of intervals falls on one key.  Rows then find their list with one equi join on (key, cell):
-no row is multiplied and nothing has to be grouped back.
+Time is cut into cells of 2^11 seconds.  An interval becomes its part of the first cell, its part of the last one, and aligned spans of 2^k cells
+between them, at most two of each k; an interval inside one cell that touches neither edge is cut into aligned spans of 2^k seconds.  Equal
+pieces are merged, with their aggregates, before anything is collected.  Pieces are kept in three tiers: those inside a cell, spans of 2^11 to 2^21 seconds by the
+2^22 seconds they lie in, and longer ones by 2^33 seconds.  A list has at most 2,048 pieces that reach its cell's end, 2,048 that begin with it and
+4,094 aligned spans, whatever number of intervals falls on one key and however long they are.
+
+A row looks up its own cell, its own 2^22 and its own 2^33 seconds in three equi joins.  No row is multiplied and nothing has to be grouped back.
 """
 
 from __future__ import annotations
@@ -14,59 +16,90 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadcast.functions.columns import cell_of
+from roadcast.session import cut_lineage
 from roadcast.skew import spread_join
 
-CELL_S = 3600
-SUB_S = 300
+STEP = 11  # bits per tier
+TIERS = 3
 _FOLDS = {"sum": F.sum, "max": F.max}
 
 
+def _right(value: Column, bits) -> Column:
+    return F.call_function("shiftright", value, bits if isinstance(bits, Column) else F.lit(bits))
+
+
+def _left(value: Column, bits) -> Column:
+    return F.call_function("shiftleft", value, bits if isinstance(bits, Column) else F.lit(bits))
+
+
+def _piece(tier, s: Column, e: Column) -> Column:
+    """A piece and the cell whose list it goes to."""
+    tier = tier if isinstance(tier, Column) else F.lit(tier)
+    return F.struct(tier.cast("int").alias("tier"), _right(s, ((tier + 1) * STEP).cast("int")).alias("cell"), s.alias("s"), e.alias("e"))
+
+
+def _spans(low: Column, high: Column, unit: int, levels: int) -> Column:
+    """Aligned spans of 2^k units that make up [low, high), k below ``levels``; ``low`` and ``high`` count units of 2^``unit`` seconds.
+
+    On each level k the units are halved k times; an odd first one cannot be half of a wider span, and an odd end leaves one before it.
+    """
+
+    def of(at: Column, k: Column) -> Column:
+        bits = k + F.lit(unit)
+        return _piece(F.floor(bits / STEP), _left(at, bits), _left(at + 1, bits) - 1)
+
+    def on_level(k: Column) -> Column:
+        first, end = -_right(-low, k), _right(high, k)
+        odd = lambda v: v.bitwiseAND(F.lit(1).cast("bigint")) == 1
+        both = F.array(F.when((first < end) & odd(first), of(first, k)), F.when((first < end) & odd(end), of(end - 1, k)))
+        return F.filter(both, lambda p: p.isNotNull())
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), on_level))
+
+
+def _cut(s: Column, e: Column) -> Column:
+    """The pieces of the interval from ``s`` to ``e``, both included."""
+    first, last = _right(s, STEP), _right(e, STEP)
+    top = TIERS * STEP - 1 - STEP  # levels of cells that have a wider one above them
+    most, end = -_right(-(first + 1), top), _right(last, top)
+    widest = F.when(
+        most < end, F.transform(F.sequence(most, end - 1), lambda at: _piece(TIERS - 1, _left(at, top + STEP), _left(at + 1, top + STEP) - 1))
+    ).otherwise(F.filter(F.array(_piece(0, s, e)), lambda p: F.lit(False)))
+    parts = F.array(_piece(0, s, _left(first + 1, STEP) - 1), _piece(0, _left(last, STEP), e))
+    touches = (s == _left(first, STEP)) | (e == _left(first + 1, STEP) - 1)
+    inside = F.when(touches, F.array(_piece(0, s, e))).otherwise(_spans(s, e + 1, 0, STEP))
+    return F.when(first == last, inside).otherwise(F.concat(parts, _spans(first + 1, last, STEP, top), widest))
+
+
 def interval_pieces(
     intervals: DataFrame,
     keys: Sequence[str],
     values: Mapping[str, tuple[Column, str]],
     start: str = "start_ts",
     end: str = "end_ts",
-    cell_s: int = CELL_S,
-    sub_s: int = SUB_S,
 ) -> DataFrame:
-    """(keys, _cell, s, e, values): pieces of the intervals, merged where cell and ends agree.
+    """(keys, tier, cell, s, e, values): pieces of the intervals, merged where they agree.
 
-    ``values`` gives each output its row expression and how to merge it, "sum" or "max".
+    ``values`` gives each output its row expression and how to merge it, "sum" or "max".  Intervals that end before they start, and those without an end
+    or a start, cover nothing.
     """
-    cut = (
-        intervals.filter(F.col(start) <= F.col(end))
-        .select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), *[v.alias(n) for n, (v, _) in values.items()])
-        .withColumn("_cell", F.explode(F.sequence(cell_of("_s", cell_s), cell_of("_e", cell_s))))
-        .withColumns(
-            {
-                "s": F.greatest("_s", F.col("_cell") * cell_s),
-                "e": F.least("_e", F.col("_cell") * cell_s + (cell_s - 1)),
-            }
-        )
-    )
-    first, last = F.col("_cell") * cell_s, F.col("_cell") * cell_s + (cell_s - 1)
-    subs = F.when((F.col("s") > first) & (F.col("e") < last), F.sequence(cell_of("s", sub_s), cell_of("e", sub_s)))
-    cut = cut.withColumn("_sub", F.explode_outer(subs)).withColumns(
-        {
-            "s": F.greatest("s", F.col("_sub") * sub_s),
-            "e": F.least("e", F.col("_sub") * sub_s + (sub_s - 1)),
-        }
+    rows = intervals.filter(F.col(start) <= F.col(end)).select(
+        *keys, F.col(start).cast("bigint").alias("_s"), F.col(end).cast("bigint").alias("_e"), *[v.alias(n) for n, (v, _) in values.items()]
     )
+    cut = rows.select(*keys, *values, F.inline(_cut(F.col("_s"), F.col("_e"))))
     return merge_pieces(cut, keys, {n: fold for n, (_, fold) in values.items()})
 
 
 def merge_pieces(pieces: DataFrame, keys: Sequence[str], folds: Mapping[str, str]) -> DataFrame:
-    grouped = [*keys, "_cell", "s", "e"]
+    grouped = [*keys, "tier", "cell", "s", "e"]
     if not folds:
         return pieces.select(*grouped).distinct()
     return pieces.groupBy(*grouped).agg(*[_FOLDS[fold](n).alias(n) for n, fold in folds.items()])
 
 
 def cover_table(pieces: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """One row per (keys, _cell) with the bounded list ``_pieces``."""
-    return pieces.groupBy(*keys, "_cell").agg(F.collect_list(F.struct("s", "e", *names)).alias("_pieces"))
+    """One row per (keys, tier, cell) with the bounded list ``_pieces``; written, since each tier is read by a join of its own."""
+    return cut_lineage(pieces.groupBy(*keys, "tier", "cell").agg(F.collect_list(F.struct("s", "e", *names)).alias("_pieces")))
 
 
 def look_up(
@@ -75,23 +108,24 @@ def look_up(
     keys: Sequence[str],
     folds: Mapping[str, str],
     ts: str = "snapshot_ts",
-    cell_s: int = CELL_S,
-    how: str = "left",
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add the merged values of the intervals that cover ``ts``: sums are 0 and maxima NULL without one."""
-    rows = df.withColumn("_cell", cell_of(ts, cell_s))
-    rows = spread_join(rows, cover, [*keys, "_cell"], keys[0], hot, how)
-    hits = F.filter("_pieces", lambda p: (p["s"] <= F.col(ts)) & (F.col(ts) <= p["e"]))
-    rows = rows.withColumn("_hits", hits)
-    out = {"_covered": F.coalesce(F.size("_hits") > 0, F.lit(False))}
+    rows, used = df, {row["tier"] for row in cover.select("tier").distinct().collect()}  # tiers without a piece need no join
+    nothing = F.array().cast(cover.schema["_pieces"].dataType)
+    hits = []
+    for tier in sorted(used):
+        side = cover.filter(F.col("tier") == tier).select(*keys, F.col("cell").alias("_cell"), F.col("_pieces").alias(f"_in{tier}"))
+        rows = rows.withColumn("_cell", _right(F.col(ts).cast("bigint"), (tier + 1) * STEP))
+        rows = spread_join(rows, side, [*keys, "_cell"], keys[0], hot).drop("_cell")
+        within = F.filter(f"_in{tier}", lambda p: (p["s"] <= F.col(ts)) & (F.col(ts) <= p["e"]))
+        hits.append(F.coalesce(within, nothing))
+    rows = rows.withColumn("_hits", F.concat(*hits) if hits else nothing)
+    out = {"_covered": F.size("_hits") > 0}
     for name, fold in folds.items():
         field = F.col("_hits")[name]
         if fold == "max":
             out[name] = F.array_max(field)
         else:
-            out[name] = F.coalesce(
-                F.aggregate(field, F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x, F.lit(0))),
-                F.lit(0).cast("bigint"),
-            )
-    return rows.withColumns(out).drop("_cell", "_pieces", "_hits")
+            out[name] = F.aggregate(field, F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x, F.lit(0)))
+    return rows.withColumns(out).drop("_hits", *[f"_in{tier}" for tier in range(TIERS)])

@@ -109,7 +109,8 @@ def nearby_incidents(
     pairs = close_pairs(spots, mids, radius_m, haversine_m).select("lat", "lon", "link_id")
     on_links = merge_pieces(at_spot.join(pairs, ["lat", "lon"]), ["link_id"], folds)
     cover = cover_table(on_links, ["link_id"], list(values))
-    hit = look_up(snapshots, cover, ["link_id"], folds, how="inner").filter("_covered")
+    reached = snapshots.join(cover.select("link_id").distinct(), "link_id", "left_semi")
+    hit = look_up(reached, cover, ["link_id"], folds).filter("_covered")
     return hit.select(
         "link_id",
         "snapshot_ts",
