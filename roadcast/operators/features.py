@@ -100,23 +100,16 @@ def with_road(
     bin_scale: int = BIN_SCALE,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Add road columns: midpoint and cells (``position="mid"``), or the end points (``"ends"``).
+    """Add road columns: midpoint and cells (``position="mid"``), the end points (``"ends"``), or ``"both"``.
 
     The rows are already hashed on link_id by the window, so the join adds no shuffle of them; whether roads are small
     enough to broadcast is left to the optimiser, which knows their size.  ``hot`` are the links with too many readings for
     one task, from :func:`roadcast.skew.hot_keys`.
     """
-    if position == "ends":
-        side = roads.select("link_id", "road_category", "start_lat", "start_lon", "end_lat", "end_lon")
-    else:
-        side = road_mid(roads).select(
-            "link_id",
-            "road_category",
-            "mid_lat",
-            "mid_lon",
-            space_bin("mid_lat", bin_scale).alias("lat_bin"),
-            space_bin("mid_lon", bin_scale).alias("lon_bin"),
-        )
+    ends = ["start_lat", "start_lon", "end_lat", "end_lon"]
+    mid = ["mid_lat", "mid_lon", space_bin("mid_lat", bin_scale).alias("lat_bin"), space_bin("mid_lon", bin_scale).alias("lon_bin")]
+    wanted = {"ends": ends, "mid": mid, "both": [*mid, *ends]}[position]
+    side = road_mid(roads).select("link_id", "road_category", *wanted)
     return spread_join(df, side, ["link_id"], "link_id", hot, how)
 
 

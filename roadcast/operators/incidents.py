@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadcast.functions.columns import haversine_m
 from roadcast.operators.cover import cover_table, interval_pieces, look_up, merge_pieces
 from roadcast.operators.features import road_mid
 from roadcast.operators.spatial import close_pairs
+from roadcast.session import cut_lineage
 from roadcast.skew import spread_join
 
 # Incident type names, fixed values of the feed.
@@ -87,39 +88,43 @@ def incident_rollup(df: DataFrame, incidents: DataFrame, hot: DataFrame | None =
 NEARBY_COLUMNS = ["incident_nearby", "nearby_accident", "nearby_roadwork", "nearby_breakdown", "mins_since_nearby_start"]
 
 
-def nearby_incidents(
-    readings: DataFrame, roads: DataFrame, incidents: DataFrame, radius_m: float = 200.0
-) -> DataFrame:
-    """One row per (link, snapshot) with an active incident within ``radius_m`` of the link midpoint.
+_NEARBY_FLAGS = {"nearby_accident": ACCIDENT, "nearby_roadwork": ROADWORK, "nearby_breakdown": BREAKDOWN}
+_NEARBY_FOLDS = {"_latest": "max", **dict.fromkeys(_NEARBY_FLAGS, "max")}
+
+
+def nearby_cover(roads: DataFrame, incidents: DataFrame, radius_m: float = 200.0) -> DataFrame:
+    """Cover table by link of the incidents within ``radius_m`` of the link's midpoint.
 
     Intervals are merged per incident position first; positions are then paired with links, so copies of an
     incident or many incidents at one spot do not multiply the pairs.
     """
-    values = {
-        "_latest": (F.col("start_ts"), "max"),
-        "nearby_accident": (_is(ACCIDENT), "max"),
-        "nearby_roadwork": (_is(ROADWORK), "max"),
-        "nearby_breakdown": (_is(BREAKDOWN), "max"),
-    }
-    folds = {name: fold for name, (_, fold) in values.items()}
+    values = {"_latest": (F.col("start_ts"), "max"), **{name: (_is(kind), "max") for name, kind in _NEARBY_FLAGS.items()}}
     at_spot = interval_pieces(incidents.filter("lat IS NOT NULL AND lon IS NOT NULL"), ["lat", "lon"], values)
-    spots = at_spot.select("lat", "lon").distinct()
-    snapshots = readings.select("link_id", "snapshot_ts").distinct()
-    mids = road_mid(roads).join(snapshots.select("link_id"), "link_id", "left_semi").select("link_id", "mid_lat", "mid_lon")
-    pairs = close_pairs(spots, mids, radius_m, haversine_m).select("lat", "lon", "link_id")
-    on_links = merge_pieces(at_spot.join(pairs, ["lat", "lon"]), ["link_id"], folds)
-    cover = cover_table(on_links, ["link_id"], list(values))
-    reached = snapshots.join(cover.select("link_id").distinct(), "link_id", "left_semi")
-    hit = look_up(reached, cover, ["link_id"], folds).filter("_covered")
-    return hit.select(
-        "link_id",
-        "snapshot_ts",
-        F.lit(1).alias("incident_nearby"),
-        "nearby_accident",
-        "nearby_roadwork",
-        "nearby_breakdown",
-        ((F.col("snapshot_ts") - F.col("_latest")) / F.lit(60.0)).alias("mins_since_nearby_start"),
-    )
+    at_spot = cut_lineage(at_spot)
+    mids = road_mid(roads).select("link_id", "mid_lat", "mid_lon")
+    pairs = close_pairs(at_spot.select("lat", "lon").distinct(), mids, radius_m, haversine_m).select("lat", "lon", "link_id")
+    return cover_table(merge_pieces(at_spot.join(pairs, ["lat", "lon"]), ["link_id"], _NEARBY_FOLDS), ["link_id"], list(values))
+
+
+def _age(latest: Column) -> Column:
+    return (F.col("snapshot_ts") - latest) / F.lit(60.0)
+
+
+def nearby_incidents(readings: DataFrame, roads: DataFrame, incidents: DataFrame, radius_m: float = 200.0) -> DataFrame:
+    """One row per (link, snapshot) with an active incident within ``radius_m`` of the link midpoint."""
+    cover = nearby_cover(roads, incidents, radius_m)
+    snapshots = readings.select("link_id", "snapshot_ts").join(cover.select("link_id").distinct(), "link_id", "left_semi").distinct()
+    hit = look_up(snapshots, cover, ["link_id"], _NEARBY_FOLDS).filter("_covered")
+    age = _age(F.col("_latest")).alias("mins_since_nearby_start")
+    return hit.select("link_id", "snapshot_ts", F.lit(1).alias("incident_nearby"), *_NEARBY_FLAGS, age)
+
+
+def add_nearby(df: DataFrame, roads: DataFrame, incidents: DataFrame, radius_m: float = 200.0, hot: DataFrame | None = None) -> DataFrame:
+    """The columns of :func:`with_nearby`, looked up on the rows themselves: readings are not scanned a second time for a table of snapshots."""
+    hit = look_up(df, nearby_cover(roads, incidents, radius_m), ["link_id"], _NEARBY_FOLDS, hot=hot)
+    flags = [F.coalesce(name, F.lit(0)).alias(name) for name in _NEARBY_FLAGS]
+    age = F.coalesce(_age(F.col("_latest")), F.lit(-1.0)).alias("mins_since_nearby_start")
+    return hit.select(*df.columns, F.col("_covered").cast("int").alias("incident_nearby"), *flags, age)
 
 
 def with_nearby(df: DataFrame, nearby: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -141,11 +146,17 @@ def fill_incident_nulls(df: DataFrame, col: str = "incident_type") -> DataFrame:
 def encode_types(df: DataFrame, frames: Sequence[DataFrame], col: str = "incident_type", out: str = "inc_type_code") -> DataFrame:
     """Code of each type by alphabetical place among the types seen in all ``frames``.
 
-    The types are a short list of feed values; each one's code is the number of types below it.
+    Distinct types are range-partitioned by name and written with their place in their part; only one count per part meets in one
+    task.  A NULL type has no code.
     """
     seen = frames[0].select(col)
     for other in frames[1:]:
         seen = seen.unionByName(other.select(col))
-    types = seen.filter(F.col(col).isNotNull()).distinct().groupBy().agg(F.sort_array(F.collect_list(col)).alias("_types"))
-    codes = types.select(F.posexplode("_types").alias(out, col)).select(col, F.col(out).cast("bigint"))
+    types = seen.filter(F.col(col).isNotNull()).distinct().repartitionByRange(col).withColumn("_part", F.spark_partition_id())
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(col))
+    types = cut_lineage(types.withColumn("_local", local))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = types.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    parts = parts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    codes = types.join(parts, "_part").select(col, (F.col("_before") + F.col("_local") - 1).cast("bigint").alias(out))
     return df.join(codes, col, "left")

@@ -11,8 +11,10 @@ from roadcast.functions.columns import EARTH_RADIUS_M, flat_m, haversine_m
 from roadcast.operators.features import road_mid
 from roadcast.session import cut_lineage
 
-LEAF_DEG = 0.004
-LEVELS = 5  # each level has cells eight times as wide; five levels above the leaf reach 131 degrees
+FINEST = 30  # halvings of the globe along each axis: cells of four centimetres
+SPLIT_BITS = 3  # a cell is split eight times along each axis
+LEAF_POSITIONS = 32
+CELL_ROWS = 2_000  # rows of one side of a cell that meet the other side in one task
 SLACK_M = 0.01
 LEAST_RING = 16  # a ring of fewer cells is not cut: there the radius spans too many degrees for the slack of the cells
 
@@ -37,6 +39,29 @@ def _around(df: DataFrame) -> DataFrame:
     )
 
 
+def cell_join(left: DataFrame, right: DataFrame, keys: Sequence[str], cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Join of rows in the same cell, where cells with many rows are split.
+
+    A histogram of both sides, counted before they meet, gives each cell with more than ``cell_rows`` rows on a side its number of parts on either side.  A row
+    goes to one part of its own side and is copied to all parts of the other one, so each pair of rows meets once, and no
+    task has more than ``cell_rows`` rows of each side of one cell to put together.
+    """
+    n_left = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
+    n_right = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
+    load = n_left.join(n_right, list(keys)).filter((F.col("_nl") > cell_rows) | (F.col("_nr") > cell_rows))
+    parts = lambda n: F.ceil(F.col(n) / F.lit(cell_rows)).cast("int")
+    load = cut_lineage(load.select(*keys, parts("_nl").alias("_pl"), parts("_nr").alias("_pr")))
+    if load.isEmpty():
+        return left.join(right, list(keys))
+
+    def dealt(df: DataFrame, own: str, other: str, own_part: str, other_part: str) -> DataFrame:
+        placed = df.join(load, list(keys), "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("_pl", "_pr")})
+        placed = placed.withColumn(own_part, F.pmod(F.xxhash64(*df.columns), own).cast("int"))
+        return placed.withColumn(other_part, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("_pl", "_pr")
+
+    return dealt(left, "_pl", "_pr", "_a", "_b").join(dealt(right, "_pr", "_pl", "_b", "_a"), [*keys, "_a", "_b"]).drop("_a", "_b")
+
+
 def close_pairs(
     points: DataFrame,
     mids: DataFrame,
@@ -62,7 +87,7 @@ def close_pairs(
     right = mids.withColumn("_ci", F.explode(F.array(*[band("mid_lat") + k for k in (-1, 0, 1)])))
     at, n = cell(F.col("_ci"), "mid_lon")
     right = right.withColumn("_cj", F.explode(F.array_distinct(F.array(F.pmod(at - 1, n), at, F.pmod(at + 1, n)))))
-    pairs = left.join(right, ["_ci", "_cj"]).drop("_ci", "_cj")
+    pairs = cell_join(left, right, ["_ci", "_cj"]).drop("_ci", "_cj")
     return pairs.withColumn("dist_m", distance("lat", "lon", "mid_lat", "mid_lon")).filter(F.col("dist_m") <= radius_m)
 
 
@@ -74,7 +99,7 @@ def in_box_pairs(points: DataFrame, mids: DataFrame, pad: float) -> DataFrame:
     inside = F.col("mid_lat").between(F.col("lat") - pad, F.col("lat") + pad) & F.col("mid_lon").between(
         F.col("lon") - pad, F.col("lon") + pad
     )
-    return left.join(right, ["_ci", "_cj"]).filter(inside).drop("_ci", "_cj")
+    return cell_join(left, right, ["_ci", "_cj"]).filter(inside).drop("_ci", "_cj")
 
 
 def nearest_in_box(points: DataFrame, roads: DataFrame, pad: float = 0.001) -> DataFrame:
@@ -97,73 +122,111 @@ def nearest_in_box(points: DataFrame, roads: DataFrame, pad: float = 0.001) -> D
     return out.select(*points.columns, F.col("_best.link_id").alias("matched_link_id"), name.alias("matched_road_name"))
 
 
-def _box_bounds(lat: Column, lon: Column) -> tuple[Column, Column]:
-    """Least and greatest haversine distance from a point to anything in the box of the row."""
-    b_lat1, b_lat2, b_lon1, b_lon2 = (F.col(c) for c in ("_lat1", "_lat2", "_lon1", "_lon2"))
-    zero = F.lit(0.0)
-    near_lat = F.greatest(zero, b_lat1 - lat, lat - b_lat2)
-    near_lon = F.greatest(zero, b_lon1 - lon, lon - b_lon2)
-    near_lon = F.when(F.greatest(F.abs(lon - b_lon1), F.abs(lon - b_lon2)) > 180, zero).otherwise(near_lon)
-    far_lat = F.greatest(F.abs(lat - b_lat1), F.abs(lat - b_lat2))
-    far_lon = F.least(F.lit(180.0), F.greatest(F.abs(lon - b_lon1), F.abs(lon - b_lon2)))
-    cos1, cos2 = F.cos(F.radians(b_lat1)), F.cos(F.radians(b_lat2))
-    cos_min = F.least(cos1, cos2)
-    cos_max = F.when((b_lat1 <= 0) & (b_lat2 >= 0), F.lit(1.0)).otherwise(F.greatest(cos1, cos2))
+def _box_gap(a: str, b: str) -> tuple[Column, Column]:
+    """Least and greatest haversine distance between anything in box ``a`` and anything in box ``b``; boxes are columns of (lat1, lat2, lon1, lon2)."""
+    (alat1, alat2, alon1, alon2), (blat1, blat2, blon1, blon2) = ([F.col(f"{x}{n}") for n in ("lat1", "lat2", "lon1", "lon2")] for x in (a, b))
+    zero, half = F.lit(0.0), F.lit(180.0)
+    near_lat = F.greatest(zero, blat1 - alat2, alat1 - blat2)
+    far_lat = F.greatest(blat2 - alat1, alat2 - blat1)
+    span = F.greatest(blon2 - alon1, alon2 - blon1)
+    near_lon = F.when(span > half, zero).otherwise(F.greatest(zero, blon1 - alon2, alon1 - blon2))
+
+    def cosines(lat1, lat2):
+        ends = F.cos(F.radians(lat1)), F.cos(F.radians(lat2))
+        return F.least(*ends), F.when((lat1 <= 0) & (lat2 >= 0), F.lit(1.0)).otherwise(F.greatest(*ends))
+
+    (a_min, a_max), (b_min, b_max) = cosines(alat1, alat2), cosines(blat1, blat2)
 
-    def metres(dlat, dlon, cos2_):
-        a = F.pow(F.sin(F.radians(dlat) / 2), 2) + F.cos(F.radians(lat)) * cos2_ * F.pow(F.sin(F.radians(dlon) / 2), 2)
-        return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    def metres(dlat, dlon, weight):
+        h = F.pow(F.sin(F.radians(dlat) / 2), 2) + weight * F.pow(F.sin(F.radians(dlon) / 2), 2)
+        return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
-    return metres(near_lat, near_lon, cos_min), metres(far_lat, far_lon, cos_max)
+    return metres(near_lat, near_lon, a_min * b_min), metres(far_lat, F.least(half, span), a_max * b_max)
 
 
-def nearest_join(points: DataFrame, targets: DataFrame, target_id: str, out_id: str, out_dist: str) -> DataFrame:
+def _places(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Add the finest cell (``_i``, ``_j``) of a position; a cell of a coarser level drops low bits."""
+    cells = 1 << FINEST
+    at = lambda value, least, width: F.greatest(F.least(F.floor((F.col(value) - least) / width * cells), F.lit(cells - 1)), F.lit(0)).cast("bigint")
+    return df.withColumns({"_i": at(lat, -90.0, 180.0), "_j": at(lon, -180.0, 360.0)})
+
+
+def _cells(df: DataFrame, lat: str, lon: str, levels: Sequence[int], prefix: str) -> DataFrame:
+    """One row per cell of each level that holds a position: its box and its number of positions."""
+    each = F.array(*[F.struct(F.lit(n).alias("l"), F.shiftright("_i", FINEST - n).alias("i"), F.shiftright("_j", FINEST - n).alias("j")) for n in levels])
+    rows = df.select(lat, lon, F.inline(each))
+    names = [f"{prefix}{n}" for n in ("lat1", "lat2", "lon1", "lon2")]
+    return rows.groupBy("l", "i", "j").agg(
+        F.count(F.lit(1)).alias("n"), *[f(c).alias(name) for name, (c, f) in zip(names, ((lat, F.min), (lat, F.max), (lon, F.min), (lon, F.max)))]
+    )
+
+
+def nearest_join(points: DataFrame, targets: DataFrame, target_id: str, out_id: str, out_dist: str, leaf: int = LEAF_POSITIONS) -> DataFrame:
     """Nearest target by haversine distance, without a cut-off, for each row of ``points`` (lat, lon).
 
-    ``targets`` has ``target_id``, lat and lon.  Targets are put into nested grids of cells, each cell with the
-    bounding box of what it holds.  Starting from the widest cells, every level keeps for a point only the cells that can
-    still hold its nearest target, so a point meets a handful of targets wherever it lies and however densely
-    targets are packed.  Equal positions, on both sides, are handled once; ties (to the millimetre) go to the lowest id.
+    Targets form a quad tree: a cell is split, eight times along each axis, until it holds at most ``leaf`` positions; the positions of all levels are
+    counted in one pass.  Points are put into the cells of the same grid.  From the widest cells down, cells of points are held against cells of targets: those whose
+    boxes are farther apart than the farthest corner of another one go, and both sides of the others are split.  Points meet targets only in
+    the leaves that are left for their cell and, after the same test with the point itself, for them.  So neither many targets in one spot nor many points in one
+    make a task of all pairs.
+
+    Equal positions, on both sides, are handled once; ties (to the millimetre) go to the lowest id.  Rows without a position get NULL, and so
+    do all rows when there is no target.
     """
-    spots = points.select(F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).dropna().distinct()
-    leaves = (
-        targets.dropna(subset=["lat", "lon"])
-        .groupBy("lat", "lon")
-        .agg(F.min(target_id).alias("_tid"))
-        .withColumns({"_i": F.floor(F.col("lat") / LEAF_DEG).cast("bigint"), "_j": F.floor(F.col("lon") / LEAF_DEG).cast("bigint")})
-    )
-    leaves = cut_lineage(leaves)
-
-    def boxes(level: int) -> DataFrame:
-        """Boxes of a level (0 = leaf), with the cell one level up as ``_pi``, ``_pj``."""
-        own = leaves.groupBy(
-            F.shiftright("_i", 3 * level).alias("_ni"), F.shiftright("_j", 3 * level).alias("_nj")
-        ).agg(F.min("lat").alias("_lat1"), F.max("lat").alias("_lat2"), F.min("lon").alias("_lon1"), F.max("lon").alias("_lon2"))
-        own = own.withColumns({"_pi": F.shiftright("_ni", 3), "_pj": F.shiftright("_nj", 3)})
-        # Cells of two degrees and more: the globe has at most 16,000 of them.
-        return F.broadcast(own) if level >= 3 else own
-
-    # Start at the lowest level where at most 2 x 2 cells hold all targets.
-    extent = leaves.agg(F.min("_i"), F.max("_i"), F.min("_j"), F.max("_j")).first()
+    spots = _places(points.select(F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).dropna().distinct(), "_plat", "_plon")
+    spots = cut_lineage(spots.filter(~F.isnan("_plat") & ~F.isnan("_plon")))
+    known = targets.dropna(subset=["lat", "lon"]).groupBy("lat", "lon").agg(F.min(target_id).alias("_tid"))
+    known = cut_lineage(_places(known, "lat", "lon"))
+    extent = known.agg(F.min("_i"), F.max("_i"), F.min("_j"), F.max("_j")).first()
     i1, i2, j1, j2 = (0 if v is None else v for v in extent)
-    top = next(n for n in range(LEVELS + 2) if (i2 >> 3 * n) - (i1 >> 3 * n) <= 1 and (j2 >> 3 * n) - (j1 >> 3 * n) <= 1)
-    cells = [(i, j) for i in {i1 >> 3 * top, i2 >> 3 * top} for j in {j1 >> 3 * top, j2 >> 3 * top}]
-    roots = F.array(*[F.struct(F.lit(i).cast("bigint").alias("i"), F.lit(j).cast("bigint").alias("j")) for i, j in cells])
-    held = spots.withColumn("_r", F.explode(roots)).select("_plat", "_plon", F.col("_r.i").alias("_pi"), F.col("_r.j").alias("_pj"))
-    per_point = Window.partitionBy("_plat", "_plon")
-    for level in range(top - 1, -1, -1):
-        lower, upper = _box_bounds(F.col("_plat"), F.col("_plon"))
-        held = (
-            held.join(boxes(level), ["_pi", "_pj"])
-            .select("_plat", "_plon", F.col("_ni").alias("_pi"), F.col("_nj").alias("_pj"), lower.alias("_lo"), upper.alias("_hi"))
-            .withColumn("_cut", F.min("_hi").over(per_point))
-            .filter(F.col("_lo") <= F.col("_cut") + SLACK_M)
-            .drop("_lo", "_hi", "_cut")
+    # start at the finest level where at most 2 x 2 cells hold all targets
+    top = next(n for n in range(FINEST, -1, -SPLIT_BITS) if all(hi >> FINEST - n <= (lo >> FINEST - n) + 1 for lo, hi in ((i1, i2), (j1, j2))))
+    levels = list(range(top, FINEST + 1, SPLIT_BITS))
+    up = lambda c: F.shiftright(c, SPLIT_BITS)
+    siblings = Window.partitionBy("l", up("i"), up("j"))
+    tree = _cells(known, "lat", "lon", levels, "t_").withColumn("_parent_n", F.sum("n").over(siblings))
+    tree = tree.filter((F.col("l") == top) | (F.col("_parent_n") > leaf))
+    tree = cut_lineage(tree.withColumn("is_leaf", (F.col("n") <= leaf) | (F.col("l") == FINEST)).drop("_parent_n"))
+    depth = tree.agg(F.max("l")).first()[0]
+    if depth is None:
+        return points.withColumns({out_id: F.lit(None).cast(targets.schema[target_id].dataType), out_dist: F.lit(None).cast("double")})
+    levels = [n for n in levels if n <= depth]
+    asking = cut_lineage(_cells(spots, "_plat", "_plon", levels, "p_"))
+    boxes = lambda x: [f"{x}_{n}" for n in ("lat1", "lat2", "lon1", "lon2")]
+    nodes = tree.select(F.col("l").alias("tl"), F.col("i").alias("ti"), F.col("j").alias("tj"), "is_leaf", *boxes("t"))
+    lower, upper = _box_gap("p_", "t_")
+
+    def prune(pairs: DataFrame, per: list[str], lo: Column, hi: Column) -> DataFrame:
+        cut = F.min("_hi").over(Window.partitionBy(*per))
+        return pairs.withColumns({"_lo": lo, "_hi": hi}).withColumn("_cut", cut).filter(F.col("_lo") <= F.col("_cut") + SLACK_M).drop("_lo", "_hi", "_cut")
+
+    roots = [(i, j) for i in {i1 >> FINEST - top, i2 >> FINEST - top} for j in {j1 >> FINEST - top, j2 >> FINEST - top}]
+    first = F.array(*[F.struct(F.lit(i).cast("bigint").alias("ti"), F.lit(j).cast("bigint").alias("tj")) for i, j in roots])
+    at_level = lambda n: asking.filter(F.col("l") == n).select(F.col("i").alias("pi"), F.col("j").alias("pj"), *boxes("p"))
+    held = at_level(top).select("*", F.inline(first)).join(nodes.filter(F.col("tl") == top), ["ti", "tj"])
+    held = prune(held, ["pi", "pj"], lower, upper)
+    for n in levels[1:]:
+        below = at_level(n).withColumns({"_ui": up("pi"), "_uj": up("pj")})
+        held = held.drop(*boxes("p")).withColumnsRenamed({"pi": "_ui", "pj": "_uj"}).join(below, ["_ui", "_uj"]).drop("_ui", "_uj")
+        parts = nodes.filter(F.col("tl") == n).select(
+            F.col("tl").alias("_l"), up("ti").alias("_ui"), up("tj").alias("_uj"), *[F.col(c).alias(f"_{c}") for c in ("ti", "tj", "is_leaf", *boxes("t"))]
         )
+        # a leaf has no parts and stays itself
+        split = (F.col("ti") == F.col("_ui")) & (F.col("tj") == F.col("_uj")) & ~F.col("is_leaf")
+        held = held.join(parts, split, "left")
+        held = held.withColumns({c: F.coalesce(f"_{c}", c) for c in ("ti", "tj", "is_leaf", *boxes("t"))} | {"tl": F.coalesce("_l", "tl")})
+        held = prune(held.select("pi", "pj", *boxes("p"), "tl", "ti", "tj", "is_leaf", *boxes("t")), ["pi", "pj"], lower, upper)
+    held = cut_lineage(held.select("pi", "pj", "tl", "ti", "tj", *boxes("t")))
+    low = FINEST - levels[-1]
+    asked = spots.select("_plat", "_plon", F.shiftright("_i", low).alias("pi"), F.shiftright("_j", low).alias("pj")).join(held, ["pi", "pj"])
+    asked = asked.withColumns({"p_lat1": F.col("_plat"), "p_lat2": F.col("_plat"), "p_lon1": F.col("_plon"), "p_lon2": F.col("_plon")})
+    asked = prune(asked, ["_plat", "_plon"], lower, upper).select("_plat", "_plon", "tl", "ti", "tj")
+    each = F.array(*[F.struct(F.lit(n).alias("tl"), F.shiftright("_i", FINEST - n).alias("ti"), F.shiftright("_j", FINEST - n).alias("tj")) for n in levels])
+    leaves = nodes.filter("is_leaf").select("tl", "ti", "tj")
+    in_leaf = known.select("lat", "lon", "_tid", F.inline(each)).join(leaves, ["tl", "ti", "tj"])
     dist = haversine_m("_plat", "_plon", "lat", "lon")
-    near = leaves.withColumnsRenamed({"_i": "_pi", "_j": "_pj"})
     best = (
-        held.join(near, ["_pi", "_pj"])
+        asked.join(in_leaf, ["tl", "ti", "tj"])
         .withColumn("_d", dist)
         .groupBy("_plat", "_plon")
         .agg(F.min_by(F.struct("_tid", "_d"), F.struct(F.round("_d", 3), "_tid")).alias("_best"))

@@ -30,7 +30,7 @@ from roadcast.operators.asof import asof_rain
 from roadcast.operators.routing import alternative_paths, path_lengths, shortest_paths
 from roadcast.plans.fixtures import END_TS, NOW_TS, START_TS, duck_sql, run_sql, table, view
 from roadcast.session import cut_lineage, shared_folder
-from roadcast.skew import FIND, hot_keys, spread_join
+from roadcast.skew import FIND, hot_keys
 from roadcast.sources import feeds, tables
 from roadcast.streaming import live
 
@@ -189,15 +189,15 @@ _MASTER_LAGS = _MASTER_LEADS = (1, 2, 3, 4, 5, 6)
 _MASTER_VALID = ["sb", "sb_tm5", "sb_tm10", "sb_tm15", "y_tp15", "sb_tm30", "y_tp30"]
 
 
-def _rollup(spark, d, lags, leads, valid, hot=FIND):
+def _rollup(spark, d, lags, leads, valid, hot=FIND, position="mid"):
     hot = _hot_links(spark, d) if hot is FIND else hot
     rows = _features(spark, d, lags, leads, SINGAPORE_SHIFT_S, SG, valid, hot)
-    rows = ft.with_road(rows, view(spark, d, "road_links"), hot=hot)
+    rows = ft.with_road(rows, view(spark, d, "road_links"), position=position, hot=hot)
     return inc.incident_rollup(rows, view(spark, d, "incidents"), hot)
 
 
-def _master(spark, d, hot=FIND):
-    return _rollup(spark, d, _MASTER_LAGS, _MASTER_LEADS, _MASTER_VALID, hot)
+def _master(spark, d, hot=FIND, position="mid"):
+    return _rollup(spark, d, _MASTER_LAGS, _MASTER_LEADS, _MASTER_VALID, hot, position)
 
 
 _MASTER_SQL = _sql_rollup(
@@ -303,10 +303,8 @@ register(
 
 def _change(spark, d):
     hot = _hot_links(spark, d)
-    rows = _rain(spark, d, _master(spark, d, hot), hot)
-    ends = view(spark, d, "road_links").select("link_id", "start_lat", "end_lat", "start_lon", "end_lon")
-    rows = spread_join(rows, ends, ["link_id"], "link_id", hot)
-    rows = inc.with_nearby(rows, _nearby(spark, d), hot)
+    rows = _rain(spark, d, _master(spark, d, hot, "both"), hot)
+    rows = inc.add_nearby(rows, view(spark, d, "road_links"), view(spark, d, "incidents"), hot=hot)
     return ft.add_targets(ft.add_calendar_flags(ft.add_link_proxy(ft.add_momentum(rows))))
 
 

@@ -3,10 +3,12 @@ import random
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from test_sessions import metres
 
 from roadcast.operators import routes as rt
-from roadcast.operators.spatial import distance_summary, nearest_in_box, nearest_join
+from roadcast.operators.spatial import cell_join, distance_summary, in_box_pairs, nearest_in_box, nearest_join
+from roadcast.session import cut_lineage
 from roadcast.operators.asof import asof_rain
 
 ROAD = "link_id BIGINT, road_name STRING, road_category INT, start_lat DOUBLE, start_lon DOUBLE, end_lat DOUBLE, end_lon DOUBLE"
@@ -32,6 +34,61 @@ def test_nearest_equals_all_pairs(spark, box):
         assert r.t == want[1] and abs(r.m - want[0]) < 0.01
 
 
+def haversine(lat, lon, lats, lons):
+    h = np.sin(np.radians(lats - lat) / 2) ** 2 + np.cos(np.radians(lat)) * np.cos(np.radians(lats)) * np.sin(np.radians(lons - lon) / 2) ** 2
+    return 2 * 6371000.0 * np.arctan2(np.sqrt(h), np.sqrt(1 - h))
+
+
+@pytest.mark.parametrize("apart", [0.0, 0.5, 120.0])
+def test_many_targets_and_points_in_one_cell(spark, apart):
+    """100,000 of each within 0.004 degrees; the points in the same cell, half a degree away, and on the other side of the globe."""
+    spots = spark.range(100_000).select("id", (F.rand(3) * 0.004 + 1.3).alias("lat"), (F.rand(4) * 0.004 + 103.8).alias("lon"))
+    asked = spark.range(100_000).select("id", (F.rand(5) * 0.004 + 1.3 - apart / 4).alias("lat"), (F.rand(6) * 0.004 + 103.8 - apart).alias("lon"))
+    spots, asked = cut_lineage(spots), cut_lineage(asked)
+    got = nearest_join(asked, spots, "id", "t", "m").toPandas()
+    assert len(got) == 100_000 and got.t.notna().all()
+    known = spots.toPandas().sort_values("id")
+    for r in got.sample(150, random_state=1).itertuples():
+        d = haversine(r.lat, r.lon, known.lat.to_numpy(), known.lon.to_numpy())
+        assert abs(d.min() - r.m) < 0.002 and abs(d[r.t] - d.min()) < 0.002
+
+
+def test_nearest_without_targets_or_points(spark):
+    points = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 2.0), (3, float("nan"), 2.0)], "p BIGINT, lat DOUBLE, lon DOUBLE")
+    assert rows(nearest_join(points, points.filter("FALSE"), "p", "t", "m"), "p", "t", "m") == [(1, None, None), (2, None, None), (3, None, None)]
+    assert rows(nearest_join(points, points.filter("p = 1"), "p", "t", "m"), "p", "t") == [(1, 1), (2, None), (3, None)]
+    assert nearest_join(points.filter("FALSE"), points, "p", "t", "m").collect() == []
+
+
+@pytest.mark.parametrize("cell_rows", [2000, 50])
+def test_hot_cells_are_split_without_losing_a_pair(spark, cell_rows):
+    left = spark.range(900).select(F.col("id").alias("a"), F.when(F.col("id") < 700, 0).otherwise(F.col("id") % 9).alias("c"), F.lit(1).alias("x"))
+    right = spark.range(400).select(F.col("id").alias("b"), F.when(F.col("id") < 300, 0).otherwise(F.col("id") % 12).alias("c"))
+    got = cell_join(left, right, ["c"], cell_rows)
+    assert got.columns == ["c", "a", "x", "b"]
+    assert rows(got, "a", "b", "c") == rows(left.join(right, "c"), "a", "b", "c")
+
+
+def test_points_in_one_cell_spread_over_tasks(spark):
+    """All points of a box join in one cell: the rows of a task are bounded, the pairs are all pairs."""
+    points = spark.range(3000).select("id", (F.lit(1.3) + F.col("id") * 1e-8).alias("lat"), F.lit(103.8).alias("lon"))
+    mids = spark.range(700).select("id", (F.lit(1.3) + F.col("id") * 1e-8).alias("mid_lat"), F.lit(103.8).alias("mid_lon"))
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = in_box_pairs(points.withColumnRenamed("id", "p"), mids, 0.001)
+        per_task = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+        hot = cell_join(points.withColumn("c", F.lit(1)), mids.withColumn("c", F.lit(1)).withColumnRenamed("id", "m"), ["c"], 200)
+        tasks = [r["count"] for r in hot.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(per_task) == sum(tasks) == 3000 * 700
+    assert len(tasks) > 10 and max(tasks) < sum(tasks) / 4
+
+
 def test_distance_summary(spark):
     rng = random.Random(1)
     values = [round(rng.expovariate(1 / 300), 4) for _ in range(700)] + [250.0] * 300
