@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from roadcast.llm.common import Steps, positions
 
 ARITY = 8
-BROADCAST_BYTES = 16 << 20  # a side is broadcast up to this many bytes, counted while it is written
+BROADCAST_BYTES = 256 << 10  # ancestors are broadcast up to this many bytes, counted while they are written
 MOST_COPIES = 64
 TOP = -1  # number of the tree over the groups' roots
 _TOP_FLAG = 128
@@ -142,6 +142,11 @@ def _no_runs(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.createDataFrame([], kinds)
 
 
+def _far(reach: int) -> Column:
+    """Nodes that are ``reach`` levels above a leaf, and those of the upper tree."""
+    return (F.col("tree") == TOP) | (F.col("level") >= reach)
+
+
 def _jump(nodes: DataFrame, far: DataFrame, root: tuple[int, int], copies: int, small: bool) -> DataFrame:
     """Move each pointer of ``nodes`` on by the pointer of the node it leads to, and append that node's segment.
 
@@ -226,13 +231,13 @@ def proofs(manifest: Manifest) -> DataFrame:
     top = manifest.inner.filter(F.col("tree") == TOP).agg(F.max("up_level")).first()[0] or 0
     leaves, inner, size = manifest.leaves, manifest.inner, manifest.inner_bytes
     for n in range(math.ceil(math.log2(depth + 1))):
-        reach = 1 << n
-        far = inner.filter((F.col("tree") == TOP) | (F.col("level") >= reach)) if n else inner
-        copies = min(arity ** (reach - 1), MOST_COPIES)
-        small = size <= BROADCAST_BYTES
-        leaves = _jump(leaves, far, (top, 0), 1 if small else copies, small)
-        if reach < depth:
-            inner, sums = steps.write_and_sum(_jump(inner, far, (top, 0), 1 if small else copies, small), size=F.octet_length("segment") + 64)
+        reach, small = 1 << n, size <= BROADCAST_BYTES
+        far = inner.filter(_far(reach))
+        copies = 1 if small else min(arity ** (reach - 1), MOST_COPIES)
+        leaves = _jump(leaves, far, (top, 0), copies, small)
+        if 2 * reach <= depth:
+            bytes_after = F.when(_far(2 * reach), F.octet_length("segment") + 64).otherwise(0)
+            inner, sums = steps.write_and_sum(_jump(inner, far, (top, 0), copies, small), size=bytes_after)
             size = sums["size"]
     rows = leaves.select("payload.doc_id", "digest", "payload.altered", "segment")
     return rows.mapInArrow(_fold_rows(manifest.root), PROOFS)
