@@ -9,6 +9,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from roadcast.llm.common import Steps
 BROADCAST_PAIRS = 1 << 20  # id pairs with their counts are broadcast up to this many (24 MB); beyond, they are joined
 HOT_SHARE = 1000  # a pair with more than one in so many of all rows is dealt to several tasks
 COPIES = 64
-_KNOWN = 300_000  # pieces of text remembered, with what both tokenizers make of them
+_KNOWN = 500_000  # pieces of text remembered, with what both tokenizers make of them
 _BATCH_CHARS = 1 << 20
 _LEARN_CHARS = 1 << 17
 _SHIFT = 32
@@ -246,17 +247,26 @@ def _row(parts: list[list[str]], pieces: Pieces) -> tuple:
     return out.row()
 
 
+@lru_cache(1)
+def _pieces(a_path: str, b_path: str) -> Pieces:
+    """One memory per worker: tasks that follow each other in a worker go on with it."""
+    return Pieces(Aligner(a_path, b_path))
+
+
 def _align(a_path: str, b_path: str):
     def run(batches) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(a_path, b_path)
-        pieces, made = Pieces(aligner), TaskContext.get().partitionId() << 40
+        pieces, made = _pieces(a_path, b_path), TaskContext.get().partitionId() << 40
+        aligner = pieces.aligner
 
         def rows(texts):
             """Few enough texts at once that their pieces fit; a longer text alone, section by section."""
             cut = [list(map(_PIECES, _sections(" " + t))) if t and aligner.cuts and not _ODD_SPACE(t) else None for t in texts]
             if len(pieces.text) > _KNOWN:
                 pieces.clear()
-            new = dict.fromkeys(p for parts in cut if parts for part in parts for p in part if p not in pieces.number)
+            new: set[str] = set()
+            for parts in cut:
+                for part in parts or ():
+                    new.update(set(part).difference(pieces.number))
             pieces.learn(list(new))
             return [_row(parts, pieces) if parts else _in_one(" " + t, aligner) if t else _NOTHING for t, parts in zip(texts, cut)]
 
