@@ -37,14 +37,15 @@ def route_alerts(
     jam_below: int = JAM_BELOW,
     threshold: int = 1,
 ) -> DataFrame:
-    """Active routes with at least ``threshold`` jammed links.  Routes without links never alert.
+    """Active routes with at least ``threshold`` jammed links, as rows of the alert table.  Routes without links never alert.
 
-    The affected links themselves are the ``jammed`` rows of :func:`jammed_links`; they stay rows, so that no route has to fit
-    into one list.
+    ``affected_link_ids`` lists the jammed links in route order; a list is no longer than the route it came from, which the route table holds in one row.
+    A new alert is not dismissed.
     """
     rows = jammed_links(routes, route_links, latest, now_hhmm, jam_below)
+    hit = F.collect_list(F.when(F.col("jammed"), F.struct("pos", "link_id")))
     counts = rows.groupBy("route_id", "user_id").agg(
-        F.count(F.lit(1)).alias("n_links"), F.count_if("jammed").alias("n_jammed")
+        F.count(F.lit(1)).alias("n_links"), F.count_if("jammed").alias("n_jammed"), F.sort_array(hit)["link_id"].alias("affected_link_ids"), F.lit(False).alias("is_dismissed")
     )
     return counts.filter(F.col("n_jammed") >= threshold)
 

@@ -1,17 +1,14 @@
-"""Band and band-change models on MLlib tree ensembles."""
+"""Band and band-change models on boosted trees."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadcast.functions.columns import dow_of, hour_of
+from roadcast.operators.boosting import Forest, cut_counts, fit_forest, load_forest, predict_forest, save_forest
 from roadcast.operators.features import road_mid
 
 # Feature lists, fixed values.
@@ -30,21 +27,20 @@ CHANGE_FEATURES = [
 ]
 CHANGE_CUT = 0.25
 N_BANDS = 8
+# Learning settings, fixed values.
+BAND_ROUNDS, BAND_DEPTH, BAND_RATE, BAND_SUBSAMPLE, BAND_SHARE = 300, 6, 0.1, 0.8, 0.8
+CHANGE_ROUNDS, CHANGE_DEPTH, CHANGE_RATE, CHANGE_SUBSAMPLE, CHANGE_SHARE, CHANGE_LEAST_CHILD = 465, 8, 0.08, 0.84, 0.64, 6.0
 
 
 def fit_band_model(
-    train: DataFrame, features: Sequence[str], label: str = "label", trees: int = 100, depth: int = 6, seed: int = 42
-) -> PipelineModel:
-    """Eight-class model of the next band; ``label`` is band - 1."""
-    forest = RandomForestClassifier(
-        featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, subsamplingRate=0.8,
-        featureSubsetStrategy="0.8", seed=seed, predictionCol="_class",
-    )
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"), forest]).fit(train)
-
-
-def predict_band(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
-    scored = model.transform(df)
+    train: DataFrame, features: Sequence[str], label: str = "label", rounds: int = BAND_ROUNDS, depth: int = BAND_DEPTH, seed: int = 42
+) -> Forest:
+    """Eight-class model of the next band, one tree per class and round; ``label`` is band - 1."""
+    return fit_forest(train, features, label, N_BANDS, rounds, depth, BAND_RATE, BAND_SUBSAMPLE, BAND_SHARE, seed=seed)
+
+
+def predict_band(model: Forest, df: DataFrame, out: str = "prediction") -> DataFrame:
+    scored = predict_forest(model, df)
     return scored.select(*df.columns, (F.col("_class") + 1).cast("int").alias(out))
 
 
@@ -57,36 +53,21 @@ def fit_change_model(
     features: Sequence[str] = CHANGE_FEATURES,
     label: str = "change",
     weight: str = "w",
-    rounds: int = 465,
-    depth: int = 8,
+    rounds: int = CHANGE_ROUNDS,
+    depth: int = CHANGE_DEPTH,
     seed: int = 42,
-) -> PipelineModel:
-    """Two-class boosted trees: does the band change.  Trees take no missing values, so they are imputed."""
-    filled = [f"_f_{name}" for name in features]
-    boosted = GBTClassifier(
-        featuresCol="features", labelCol=label, weightCol=weight, maxIter=rounds, maxDepth=depth, stepSize=0.08,
-        subsamplingRate=0.84, featureSubsetStrategy="0.64", minInstancesPerNode=6, seed=seed, checkpointInterval=10,
-    )
-    stages = [
-        Imputer(inputCols=list(features), outputCols=filled, strategy="mean"),
-        VectorAssembler(inputCols=filled, outputCol="features"),
-        boosted,
-    ]
-    return Pipeline(stages=stages).fit(as_doubles(train, features))
-
-
-def as_doubles(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return df.withColumns({name: F.col(name).cast("double") for name in features})
-
-
-def predict_change(model: PipelineModel, df: DataFrame, features: Sequence[str] = CHANGE_FEATURES, cut: float = CHANGE_CUT) -> DataFrame:
+) -> Forest:
+    """Two-class model: does the band change.  Missing values (rain) go to the side that each cut learns for them."""
+    return fit_forest(train, features, label, 2, rounds, depth, CHANGE_RATE, CHANGE_SUBSAMPLE, CHANGE_SHARE, CHANGE_LEAST_CHILD, weight, seed)
+
+
+def predict_change(model: Forest, df: DataFrame, cut: float = CHANGE_CUT) -> DataFrame:
     """Add ``prob`` and ``pred`` = 1 from ``cut`` on."""
-    scored = model.transform(as_doubles(df, features))
-    scored = scored.withColumn("prob", vector_to_array("probability")[1])
+    scored = predict_forest(model, df).withColumn("prob", F.col("_probabilities")[1])
     return scored.select(*df.columns, "prob", (F.col("prob") >= cut).cast("int").alias("pred"))
 
 
-def score_links(model: PipelineModel, lags: DataFrame, roads: DataFrame, now_ts: int, shift_s: int = 28800) -> DataFrame:
+def score_links(model: Forest, lags: DataFrame, roads: DataFrame, now_ts: int, shift_s: int = 28800) -> DataFrame:
     """(link_id, prediction_tp15) from the current lag columns; NULL for links without a road category."""
     mids = road_mid(roads).select("link_id", "road_category", "mid_lat", "mid_lon")
     rows = lags.join(mids, "link_id", "left")
@@ -97,16 +78,15 @@ def score_links(model: PipelineModel, lags: DataFrame, roads: DataFrame, now_ts:
     return scored.select("link_id", F.when(known, F.col("_pred")).alias("prediction_tp15"))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(spark: SparkSession, model: Forest, path: str) -> None:
+    save_forest(spark, model, path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(spark: SparkSession, path: str) -> Forest:
+    return load_forest(spark, path)
 
 
-def importance(spark, model: PipelineModel, features: Sequence[str], n: int = 15) -> DataFrame:
-    """The ``n`` most important features.  There is one value per feature, held by the model."""
-    values = model.stages[-1].featureImportances.toArray()
-    rows = sorted(zip(features, map(float, values)), key=lambda r: (-r[1], r[0]))[:n]
+def importance(spark: SparkSession, model: Forest, n: int = 15) -> DataFrame:
+    """The ``n`` features that most cuts are on.  There is one value per feature, held by the model."""
+    rows = sorted(cut_counts(model), key=lambda r: (-r[1], r[0]))[:n]
     return spark.createDataFrame(rows, "feature STRING, importance DOUBLE")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadcast.functions.columns import bearing_deg, bearing_diff, flat_m, midpoint
 from roadcast.operators.features import road_mid
 from roadcast.operators.spatial import in_box_pairs
+from roadcast.session import cut_lineage
 from roadcast.skew import FIND, MAX_GROUP_ROWS, Hot, hot_keys, neighbour_window, run_numbers
 
 # Matching limits, fixed values.
@@ -114,7 +115,7 @@ def match_routes(points: DataFrame, roads: DataFrame) -> tuple[DataFrame, DataFr
     A route has fewer segments than points, so its size is looked at once.
     """
     hot = hot_keys(points, ["route_id"])
-    matches = match_segments(segments(points, hot=hot), roads)
+    matches = match_segments(cut_lineage(segments(points, hot=hot)), roads)  # read for the different stretches and for the segments
     return matches, merge_runs(matches, hot=hot)
 
 

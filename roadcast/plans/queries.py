@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,26 +26,15 @@ from roadcast.operators import spatial as sp
 from roadcast.operators import state as st
 from roadcast.operators.asof import asof_rain
 from roadcast.operators.routing import alternative_paths, path_lengths, shortest_paths
-from roadcast.plans.fixtures import END_TS, NOW_TS, START_TS, duck_sql, run_sql, table, view
-from roadcast.session import cut_lineage, shared_folder
+from roadcast.plans.fixtures import END_TS, NOW_TS, START_TS, run_sql, view
+from roadcast.plans.registry import QUERIES, register
 from roadcast.skew import FIND, hot_keys
 from roadcast.sources import feeds, tables
-from roadcast.streaming import live
-
-Job = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Job] = {}
-ORACLES: dict[str, str] = {}
 
 HORIZONS = {5: 1, 10: 2, 15: 3, 30: 6}
 NOW_HHMM = "08:00"
 
 
-def register(name: str, job: Job, sql: str | None = None) -> None:
-    QUERIES[name] = job
-    if sql is not None:
-        ORACLES[name] = duck_sql(sql)
-
-
 def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
@@ -218,9 +205,8 @@ register(
 
 def _encoded(spark, d):
     rows = inc.fill_incident_nulls(_incident_types(spark, d))
-    train, test = sm.split_last(rows)
-    both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
-    out = inc.encode_types(both, [train, test])
+    both = sm.with_side_last(rows)
+    out = inc.encode_types(both, [both])
     return out.select("link_id", "snapshot_ts", "side", "incident_type", "has_incident", "inc_type_code")
 
 
@@ -330,11 +316,6 @@ register(
 )
 
 
-def _sides(pair):
-    train, test = pair
-    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
-
-
 _TP15_SQL = _sql_features(LAGS, (3,))
 
 
@@ -344,12 +325,12 @@ def _tp15(spark, d):
 
 register(
     "split_last",
-    lambda spark, d: _sides(sm.split_last(_tp15(spark, d))),
+    lambda spark, d: sm.with_side_last(_tp15(spark, d)),
     f"SELECT *, CASE WHEN snapshot_ts < max(snapshot_ts) OVER () - 172800 THEN 'train' ELSE 'test' END AS side FROM ({_TP15_SQL}) t",
 )
 register(
     "split_fraction",
-    lambda spark, d: _sides(sm.split_fraction(_tp15(spark, d))),
+    lambda spark, d: sm.with_side_fraction(_tp15(spark, d)),
     f"""SELECT *, CASE WHEN snapshot_ts < min(snapshot_ts) OVER () + CAST(trunc(CAST(0.8 AS DOUBLE) * (max(snapshot_ts) OVER () - min(snapshot_ts) OVER ())) AS BIGINT)
  THEN 'train' ELSE 'test' END AS side FROM ({_TP15_SQL}) t""",
 )
@@ -477,7 +458,7 @@ register(
 )
 register(
     "nearby_rate",
-    lambda spark, d: rounded(ev.flag_rate(_sides(sm.split_fraction(_nearby_rows(spark, d))), "incident_nearby", ["side"]), "rate"),
+    lambda spark, d: rounded(ev.flag_rate(sm.with_side_fraction(_nearby_rows(spark, d)), "incident_nearby", ["side"]), "rate"),
     f"""SELECT side, round(avg(incident_nearby), 6) AS rate, count(*) FILTER (incident_nearby = 1) AS rows FROM (
  SELECT *, CASE WHEN snapshot_ts < min(snapshot_ts) OVER () + CAST(trunc(CAST(0.8 AS DOUBLE) * (max(snapshot_ts) OVER () - min(snapshot_ts) OVER ())) AS BIGINT)
  THEN 'train' ELSE 'test' END AS side FROM ({_NEARBY_ROWS_SQL}) t) s GROUP BY side""",
@@ -661,8 +642,13 @@ register(
 )
 
 
+def listed(df: DataFrame) -> DataFrame:
+    """Link lists as text, which both engines write alike."""
+    return df.withColumn("affected_link_ids", F.array_join("affected_link_ids", ","))
+
+
 def _alerts(spark, d):
-    return al.route_alerts(view(spark, d, "habit_routes"), view(spark, d, "route_links"), _lags(spark, d), NOW_HHMM)
+    return listed(al.route_alerts(view(spark, d, "habit_routes"), view(spark, d, "route_links"), _lags(spark, d), NOW_HHMM))
 
 
 _WINDOW_SQL = (
@@ -674,7 +660,8 @@ SELECT l.route_id, h.user_id, l.pos, l.link_id, coalesce(s.sb, 9) < 4 AS jammed
 JOIN (SELECT * FROM {{habit_routes}} WHERE alert_enabled AND {_WINDOW_SQL.replace("{n}", "'08:00'")}) h ON h.id = l.route_id
 LEFT JOIN ({_LAGS_SQL}) s ON s.link_id = l.link_id"""
 _ALERTS_SQL = f"""
-SELECT route_id, user_id, count(*) AS n_links, count(*) FILTER (jammed) AS n_jammed FROM ({_JAMMED_SQL}) j
+SELECT route_id, user_id, count(*) AS n_links, count(*) FILTER (jammed) AS n_jammed, coalesce(string_agg(CAST(link_id AS VARCHAR), ',' ORDER BY pos) FILTER (jammed), '') AS affected_link_ids,
+ FALSE AS is_dismissed FROM ({_JAMMED_SQL}) j
 GROUP BY route_id, user_id HAVING count(*) FILTER (jammed) >= 1"""
 register(
     "jammed_links",
@@ -907,71 +894,5 @@ register(
   SELECT p_partkey AS query, p_name, unnest(range(1, p_size + 1)) AS i FROM {part}) a WHERE i % 4 <> 0) b WHERE pos < 8""",
 )
 
-# --- models -----------------------------------------------------------------------------------------------------------------
-
-
-def _band_model_scores(spark, d):
-    from roadcast.operators import models as md
-
-    rows = cut_lineage(ft.add_targets(_roads15(spark, d)))  # training reads its table many times
-    train, _ = sm.split_last(rows)
-    model = md.fit_band_model(train, md.BAND_FEATURES["roads"], trees=10)
-    return md.score_links(model, _lags(spark, d), view(spark, d, "road_links"), NOW_TS)
-
-
-def _change_model_scores(spark, d):
-    from roadcast.operators import models as md
-
-    rows = cut_lineage(md.row_weights(_change(spark, d), 2.0))
-    train, test = sm.split_fraction(rows)
-    model = md.fit_change_model(train, rounds=5, depth=5)
-    return md.predict_change(model, test).select("link_id", "snapshot_ts", "change", "prob", "pred")
-
-
-register("band_model_scores", _band_model_scores)
-register("change_model_scores", _change_model_scores)
-
-# --- streams -----------------------------------------------------------------------------------------------------------------
-
-_EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-_EVENT_READINGS = "SELECT event_id AS id, user_id AS link_id, CAST(1 + (event_id * 7 + user_id) % 8 AS INT) AS speed_band, [EP] AS snapshot_ts FROM {events}"
-
-
-def _event_stream(spark, d):
-    events = spark.readStream.schema(_EVENTS).parquet(f"{d}/events*.parquet")
-    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
-    band = (F.lit(1) + (F.col("event_id") * 7 + F.col("user_id")) % 8).cast("int")
-    return events.select(F.col("event_id").alias("id"), F.col("user_id").alias("link_id"), band.alias("speed_band"), seconds.alias("snapshot_ts"))
-
-
-def _fresh_folder(spark, name):
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def _stream_last_n(spark, d):
-    folder = _fresh_folder(spark, "live")
-    live.start_state(_event_stream(spark, d), f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
-    return st.state_to_lags(live.current_state(spark, f"{folder}/state"))
-
-
-register("stream_last_n", _stream_last_n, _sql_last_n(f"({_EVENT_READINGS}) e"))
-
-
-def _stream_alerts(spark, d):
-    folder = _fresh_folder(spark, "alerts")
-    live.start_alerts(
-        _event_stream(spark, d), view(spark, d, "habit_routes"), view(spark, d, "route_links"), lambda: (NOW_TS, NOW_HHMM),
-        f"{folder}/state", f"{folder}/alerts", f"{folder}/checkpoint",
-    ).awaitTermination()
-    return live.read_alerts(spark, f"{folder}/alerts").drop("batch")
-
-
-register(
-    "stream_alerts",
-    _stream_alerts,
-    f"SELECT *, CAST({NOW_TS} AS BIGINT) AS created_ts FROM ({_ALERTS_SQL.replace(_LAGS_SQL, _sql_last_n(f'({_EVENT_READINGS}) e'))}) a",
-)
-
-
 def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     return QUERIES["features_master_v3"](spark, sf_dir)

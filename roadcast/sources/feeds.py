@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 from roadcast import schemas
 
 
-def read_incident_feed(spark: SparkSession, path: str, n: int = 30) -> DataFrame:
-    """First ``n`` incidents of a feed file: a bare list, or an object with the list under ``value``.
+def read_incident_feed(spark: SparkSession, path: str, n: int | None = 30) -> DataFrame:
+    """First ``n`` incidents of feed files, all with ``n`` None: each file a bare list, or an object with the list under ``value``.
 
-    The feed is one small document, so its order is that of the file.
+    Files follow each other by path, incidents as they stand in the file; a file is read by one task, which numbers its entries.
     """
     fields = schemas.FEED_INCIDENT
+    names = [c.split()[0] for c in fields.split(", ")]
     both = f"{fields}, value ARRAY<STRUCT<{fields}>>"
     rows = spark.read.schema(both).option("multiLine", True).json(path)
-    own = F.struct(*[c.split()[0] for c in fields.split(", ")])
-    listed = rows.select(F.coalesce("value", F.array(own)).alias("_list"))
-    return listed.select(F.inline("_list")).limit(n)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_entry"))
+    listed = rows.select("_file", "_entry", F.posexplode(F.coalesce("value", F.array(F.struct(*names)))).alias("_pos", "_row"))
+    if n is not None:
+        listed = listed.orderBy("_file", "_entry", "_pos").limit(n)
+    return listed.select("_row.*")
 
 
 def parse_incidents(payloads: DataFrame, col: str = "body") -> DataFrame:

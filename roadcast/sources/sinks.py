@@ -29,3 +29,15 @@ def write_by_day(df: DataFrame, path: str, ts: str = "snapshot_ts", max_records:
     day = F.date_format(F.timestamp_seconds(F.col(ts)), "yyyy-MM-dd")
     rows = df.withColumn("day", day).hint("rebalance", "day")
     write_table(rows, path, ["day"], max_records)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str = "link_id", order: Sequence[str] = ("snapshot_ts",), buckets: int = 200) -> DataFrame:
+    """``df`` as a table in buckets of ``key``, each sorted by ``order``, at ``path``; returns the table.
+
+    Windows and joins on ``key`` then need no shuffle of it.  Rows go to their bucket before they are written, so each bucket is one file; a
+    bucket has about (rows / ``buckets``) rows unless one key has more.
+    """
+    rows = df.repartition(buckets, key).sortWithinPartitions(key, *order)
+    writer = rows.write.mode("overwrite").format("parquet").option("path", path).option("compression", "snappy")
+    writer.bucketBy(buckets, key).sortBy(key, *order).saveAsTable(table)
+    return df.sparkSession.table(table)

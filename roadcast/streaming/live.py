@@ -21,7 +21,7 @@ from roadcast.operators.state import KEEP, state_to_lags
 
 _LIVE = "link_id BIGINT, newest_ts BIGINT, bands ARRAY<INT>"
 _STATE = "times ARRAY<BIGINT>, ids ARRAY<BIGINT>, bands ARRAY<INT>"
-_ALERTS = "route_id BIGINT, user_id BIGINT, n_links BIGINT, n_jammed BIGINT, created_ts BIGINT"
+_ALERTS = "route_id BIGINT, user_id BIGINT, n_links BIGINT, n_jammed BIGINT, affected_link_ids ARRAY<BIGINT>, is_dismissed BOOLEAN, created_ts BIGINT"
 
 
 def _newest(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -44,9 +44,11 @@ def stream_last_n(readings: DataFrame) -> DataFrame:
     )
 
 
-def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
+def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str, every: str | None = None) -> StreamingQuery:
+    """Run a batch ``every`` so often ("5 minutes"), or without it over what is there now."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each)
-    return writer.trigger(availableNow=True).start()
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def _latest(df: DataFrame) -> DataFrame:
@@ -66,13 +68,13 @@ def _next_version(spark, updates: DataFrame, folder: str, batch_id: int) -> Data
     return spark.read.schema(_LIVE).parquet(target)
 
 
-def start_state(readings: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+def start_state(readings: DataFrame, folder: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Keep the state table of all links; the highest version is the current one."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         _next_version(batch.sparkSession, batch, folder, batch_id)
 
-    return _start(stream_last_n(readings), each, checkpoint, "update")
+    return _start(stream_last_n(readings), each, checkpoint, "update", every)
 
 
 def current_state(spark, folder: str) -> DataFrame:
@@ -82,10 +84,10 @@ def current_state(spark, folder: str) -> DataFrame:
 
 
 def start_scoring(
-    readings: DataFrame, model_path: str, roads: DataFrame, out: str, checkpoint: str, shift_s: int = SINGAPORE_SHIFT_S
+    readings: DataFrame, model_path: str, roads: DataFrame, out: str, checkpoint: str, shift_s: int = SINGAPORE_SHIFT_S, every: str | None = None
 ) -> StreamingQuery:
     """Predicted band of every link touched by a micro-batch, at the time of its newest reading."""
-    model = load_model(model_path)
+    model = load_model(readings.sparkSession, model_path)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         newest = batch.agg(F.max("newest_ts")).first()[0]
@@ -94,7 +96,7 @@ def start_scoring(
         scores = score_links(model, state_to_lags(batch), roads, newest, shift_s)
         scores.withColumn("scored_ts", F.lit(newest)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return _start(stream_last_n(readings), each, checkpoint, "update")
+    return _start(stream_last_n(readings), each, checkpoint, "update", every)
 
 
 def start_alerts(
@@ -107,6 +109,7 @@ def start_alerts(
     checkpoint: str,
     jam_below: int = 4,
     threshold: int = 1,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Route alerts per micro-batch, at most one per route and hour.  ``now`` gives epoch seconds and "HH:MM"."""
 
@@ -121,7 +124,7 @@ def start_alerts(
             fresh = apply_cooldown(fresh, sent, now_ts)
         fresh.write.mode("overwrite").parquet(f"{alert_folder}/batch={batch_id}")
 
-    return _start(stream_last_n(readings), each, checkpoint, "update")
+    return _start(stream_last_n(readings), each, checkpoint, "update", every)
 
 
 def read_alerts(spark, folder: str) -> DataFrame:
@@ -135,3 +138,19 @@ def stream_sessions(snapshots: DataFrame, keys=("type", "link_id"), gap: str = "
         F.min("snapshot_ts").alias("start_ts"), F.max("snapshot_ts").alias("end_ts"), F.count(F.lit(1)).alias("n")
     )
     return windows.select(*keys, "start_ts", "end_ts", "n")
+
+
+def start_sessions(snapshots: DataFrame, folder: str, checkpoint: str, keys=("type", "link_id"), every: str | None = None) -> StreamingQuery:
+    """Keep the table of all sessions; the highest version is the current one."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/version={batch_id}")
+
+    return _start(stream_sessions(snapshots, keys), each, checkpoint, "complete", every)
+
+
+def current_sessions(spark, folder: str, keys: dict[str, str]) -> DataFrame:
+    fields = ", ".join(f"{name} {kind}" for name, kind in keys.items())
+    versions = spark.read.schema(f"{fields}, start_ts BIGINT, end_ts BIGINT, n BIGINT, version INT").parquet(folder)
+    last = versions.agg(F.max("version")).first()[0]
+    return versions.filter(F.col("version") == last).drop("version")

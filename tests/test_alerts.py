@@ -21,9 +21,9 @@ def test_route_alerts(spark):
     )
     links = spark.createDataFrame([(1, 0, 100), (1, 1, 101), (2, 0, 100), (3, 0, 100), (4, 0, 999)], "route_id BIGINT, pos BIGINT, link_id BIGINT")
     latest = spark.createDataFrame([(100, 3), (101, 4)], "link_id BIGINT, sb INT")
-    assert rows(al.route_alerts(routes, links, latest, "08:00")) == [(1, 10, 2, 1)]
-    assert rows(al.route_alerts(routes, links, latest, "08:00", threshold=0)) == [(1, 10, 2, 1), (4, 12, 1, 0)]
-    assert rows(al.route_alerts(routes, links, latest, "23:00")) == [(2, 10, 1, 1)]
+    assert rows(al.route_alerts(routes, links, latest, "08:00")) == [(1, 10, 2, 1, [100], False)]
+    assert rows(al.route_alerts(routes, links, latest, "08:00", threshold=0)) == [(1, 10, 2, 1, [100], False), (4, 12, 1, 0, [], False)]
+    assert rows(al.route_alerts(routes, links, latest, "23:00")) == [(2, 10, 1, 1, [100], False)]
 
 
 def test_cooldown(spark):

@@ -57,17 +57,22 @@ def test_stream_sessions(spark, tmp_path):
     assert rows(spark.table("sessions")) == [("A", 1, 0, 600, 2), ("A", 1, 1501, 1501, 1), ("A", 1, 50_000, 50_000, 1), ("A", 2, 0, 0, 1)]
 
 
+def band_rows(n):
+    """Bands that follow from the lags, with a quarter of the rows changed by what the hour says."""
+    data = [(1 + i % 8, 1 + (i // 3) % 8, 1 + i % 7, 1 + i % 5, i % 4, i % 7, i % 24, 1.3 + i % 9 / 100, 103.8, 1 + (i + (i % 24 > 17)) % 8) for i in range(n)]
+    return data, md.BAND_FEATURES["roads"] + ["y_tp15"]
+
+
 def test_models(spark, tmp_path):
-    data = [(1 + n % 8, 1 + (n + 1) % 8, 1 + n % 7, 1 + n % 5, n % 4, n % 7, n % 24, 1.3, 103.8, 1 + (n * 3) % 8) for n in range(300)]
-    cols = md.BAND_FEATURES["roads"] + ["y_tp15"]
-    frame = add_targets(spark.createDataFrame(data, cols))
-    model = md.fit_band_model(frame, md.BAND_FEATURES["roads"], trees=3, depth=3)
+    frame = add_targets(spark.createDataFrame(*band_rows(600)))
+    features = md.BAND_FEATURES["roads"]
+    model = md.fit_band_model(frame, features, rounds=4, depth=3)
     scored = md.predict_band(model, frame)
     assert {r[0] for r in scored.select("prediction").distinct().collect()} <= set(range(1, 9))
-    md.save_model(model, str(tmp_path / "m"))
-    again = md.load_model(str(tmp_path / "m"))
+    md.save_model(spark, model, str(tmp_path / "m"))
+    again = md.load_model(spark, str(tmp_path / "m"))
     assert rows(md.predict_band(again, frame), "prediction") == rows(scored, "prediction")
-    top = md.importance(spark, model, md.BAND_FEATURES["roads"], 5).collect()
+    top = md.importance(spark, model, 5).collect()
     assert len(top) == 5 and top[0].importance >= top[-1].importance
     lags = spark.createDataFrame([(1, 3, 3, 3, 3), (2, 4, 4, 4, 4), (3, 5, 5, 5, 5)], "link_id BIGINT, sb INT, sb_tm5 INT, sb_tm10 INT, sb_tm15 INT")
     roads = spark.createDataFrame([(1, "R", 1, 1.3, 103.8, 1.3, 103.8), (2, "R", None, 1.3, 103.8, 1.3, 103.8)], ROAD)
@@ -78,14 +83,3 @@ def test_models(spark, tmp_path):
     live.start_scoring(stream(spark, tmp_path / "in"), str(tmp_path / "m"), roads, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     written = spark.read.parquet(str(tmp_path / "out"))
     assert written.filter("link_id = 1 AND prediction_tp15 BETWEEN 1 AND 8").count() == 2
-
-
-def test_change_model(spark):
-    rng_row = lambda n: tuple(float((n * (k + 3)) % 11) for k in range(len(md.CHANGE_FEATURES)))
-    data = [(*rng_row(n)[:11], None if n % 9 == 0 else rng_row(n)[11], *rng_row(n)[12:], n % 2) for n in range(120)]
-    schema = ", ".join(f"{c} DOUBLE" for c in md.CHANGE_FEATURES) + ", change INT"
-    frame = md.row_weights(spark.createDataFrame(data, schema), 5.0)
-    assert {r.w for r in frame.select("w").distinct().collect()} <= {1.0, 5.0}
-    model = md.fit_change_model(frame, rounds=2, depth=3)
-    out = md.predict_change(model, frame)
-    assert out.count() == 120 and out.filter("(prob >= 0.25) <> (pred = 1)").count() == 0

@@ -70,3 +70,58 @@ def test_filters_reach_the_scan(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(snapshot_ts,300)" in plan and "max_speed" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_feed_files_in_order(spark, tmp_path):
+    """The first entries are those of the first file, in its order, whatever partitions the files fall into."""
+    for n in range(3):
+        items = [{**ITEM, "Message": f"{n}-{k}"} for k in range(25)]
+        (tmp_path / f"f{n}.json").write_text(json.dumps(items if n % 2 else {"value": items}))
+    got = [r.Message for r in feeds.read_incident_feed(spark, str(tmp_path), n=40).collect()]
+    assert got == [f"0-{k}" for k in range(25)] + [f"1-{k}" for k in range(15)]
+    assert feeds.read_incident_feed(spark, str(tmp_path), n=None).count() == 75
+
+
+def test_buckets_need_no_shuffle(spark, tmp_path):
+    from roadcast.operators.features import build_features
+
+    rows = spark.range(2000).selectExpr("id", "id % 37 AS link_id", "CAST(1 + id % 8 AS INT) AS speed_band", "id * 300 AS snapshot_ts")
+    table = sinks.write_bucketed(rows, "bucketed_readings", str(tmp_path / "b"), order=("snapshot_ts", "id"), buckets=8)
+    roads = sinks.write_bucketed(spark.range(37).selectExpr("id AS link_id", "id AS road"), "bucketed_roads", str(tmp_path / "r"), order=(), buckets=8)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = build_features(table, hot=None).join(roads, "link_id")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert rows_equal(build_features(table, hot=None), build_features(rows, hot=None))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in ("bucketed_readings", "bucketed_roads"):
+            spark.sql(f"DROP TABLE {name}")
+
+
+def rows_equal(a, b):
+    return rows(a) == rows(b)
+
+
+def test_bounds_come_from_footers(spark, tmp_path):
+    from roadcast.operators.sampling import file_bounds
+
+    spark.range(1000).selectExpr("id * 3 AS snapshot_ts").write.parquet(str(tmp_path / "t"))
+    found = file_bounds(spark, str(tmp_path / "t"))
+    assert "PushedAggregation: [COUNT(*), MIN(snapshot_ts), MAX(snapshot_ts)]" in found._jdf.queryExecution().executedPlan().toString()
+    assert tuple(found.first()) == (1000, 0, 2997)
+
+
+def test_sides_from_one_read(spark):
+    from roadcast.operators.sampling import split_last, with_side_fraction, with_side_last
+
+    df = spark.range(11).selectExpr("id", "id * 86400 AS snapshot_ts").unionByName(spark.sql("SELECT 99L AS id, CAST(NULL AS BIGINT) AS snapshot_ts"))
+    train, test = split_last(df)
+    got = with_side_last(df)
+    assert rows(got.filter("side = 'train'"), "id") == rows(train, "id") and rows(got.filter("side = 'test'"), "id") == rows(test, "id")
+    assert got._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    assert rows(with_side_fraction(df).groupBy("side").count()) == [("test", 3), ("train", 8)]
+    empty = df.filter("FALSE")
+    assert with_side_last(empty).collect() == [] and split_last(empty)[0].collect() == []
