@@ -50,16 +50,15 @@ class Index:
     window: int = 0
 
 
-def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean_words: float, threshold: float) -> Index:
-    """``df``, ``n_items`` and ``mean_words`` are of all items, also those of other chunks."""
+def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean_words: float, window: int, threshold: float) -> Index:
+    """``df``, ``n_items``, ``mean_words`` and ``window`` (words of the longest item) are of all items, also those of other chunks."""
     split = sorted(((words(t), i, t) for i, t in items), key=lambda x: (len(x[0]), x[1], x[2]))
     split = [s for s in split if s[0]]
-    index = Index([(i, t) for _, i, t in split])
+    index = Index([(i, t) for _, i, t in split], window=window)
     gathered: list[list[tuple[int, float]]] = []
     others = np.zeros(len(split))
     kept_rare: set[int] = set()
     for n, (found, _, _) in enumerate(split):
-        index.window = max(index.window, len(found))
         impact = {}
         for term, tf in Counter(found).items():
             idf = math.log(1 + (n_items - df[term] + 0.5) / (df[term] + 0.5))
@@ -202,7 +201,7 @@ def _terms(batches):
 
 def find_leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    threshold: float = LEAST_SHARE, overlap: float = 0.8, k: int = 5,
+    threshold: float = LEAST_SHARE, overlap: float = 0.8, k: int = 5, chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Pairs of a document and a test item that it contains: doc_id, item_id, score, question_overlap, answer_overlap.
 
@@ -212,8 +211,8 @@ def find_leaks(
     drops no pair.  A pair stays if the passage has ``overlap`` of the ``k``-word runs of the item's question (all sentences but the
     last) and of its answer (the last sentence); shorter parts are one run.  Of several passages the best one counts.
 
-    The index travels by broadcast in chunks of CHUNK_BYTES item text, with one pass over the documents per chunk; statistics are of all
-    items.  Null or empty texts and items match nothing.  Rows that repeat a document's or an item's id count as one; null
+    The index travels by broadcast in chunks of ``chunk_bytes`` item text, with one pass over the documents per chunk; statistics and the length of passages are of all
+    items, so the result does not depend on the chunks.  The last sentence of an item counts as its answer: a passage with the question and a reworded answer is no leak.  Null or empty texts and items match nothing.  Rows that repeat a document's or an item's id count as one; null
     ids come back as null; empty tables give no rows; other columns are not read.
     """
     spark = docs.sparkSession
@@ -222,18 +221,18 @@ def find_leaks(
     source = docs.select(ids(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     tests = items.select(ids(item_col).alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text")).distinct()
     split = tests.select("text").mapInArrow(_terms, "n long, terms array<string>").filter("n > 0")
-    n_items, n_words = split.agg(F.count("n"), F.sum("n")).first()
+    n_items, n_words, window = split.agg(F.count("n"), F.sum("n"), F.max("n")).first()
     found = spark.createDataFrame([], RESULT)
     if not n_items:
         return found.select(known("doc_id"), known("item_id"), "score", "question_overlap", "answer_overlap")
     seen = split.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n_chunks = max(1, math.ceil(tests.agg(F.sum(F.octet_length("text"))).first()[0] / CHUNK_BYTES))
+    n_chunks = max(1, math.ceil(tests.agg(F.sum(F.octet_length("text"))).first()[0] / chunk_bytes))
     chunked = tests.withColumn("chunk", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_chunks)))
     for chunk in range(n_chunks):
         part = chunked.filter(F.col("chunk") == chunk).select("item_id", "text")
         own = part.select("text").mapInArrow(_terms, "n long, terms array<string>").select(F.explode("terms").alias("term")).distinct()
         df = {r[0]: r[1] for r in seen.join(own, "term").toLocalIterator()}
-        index = build_index([tuple(r) for r in part.toLocalIterator()], df, n_items, n_words / n_items, threshold)
+        index = build_index([tuple(r) for r in part.toLocalIterator()], df, n_items, n_words / n_items, window, threshold)
         if index.items:
             found = found.unionByName(source.mapInArrow(_query(spark.sparkContext.broadcast(index), threshold, overlap, k), RESULT))
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("_b"))
@@ -241,6 +240,10 @@ def find_leaks(
 
 
 def drop_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that contain a test item; all columns stay."""
-    bad = leaks.select(F.col("doc_id").alias("_leak_id")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_leak_id")), "left_anti")
+    """``docs`` without the documents that contain a test item; all columns stay, whatever their names.
+
+    Rows that repeat an id go or stay together, also those with a null id.  An empty table on either side leaves ``docs`` as it is.
+    """
+    bad = leaks.select(F.col("doc_id").alias("_b")).distinct()
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_a"))
+    return row.join(bad, F.col(f"_a.`{id_col}`").eqNullSafe(F.col("_b")), "left_anti").select("_a.*")

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from roadcast.llm.common import Steps
 
-ALPHABET = 63
-CELLS = 64 + 64**2 + 64**3
+CELL_BITS = 18
+CELLS = 1 << CELL_BITS  # runs of characters share this many cells by hash, whatever the script
+_MIX = [np.uint32(m) for m in (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)]
 UNDETERMINED = "und"
 
 
@@ -22,28 +23,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-@dataclass
-class Profile:
-    """Characters by frequency; all others share cell 0, together with white space that is folded to one."""
-
-    letters: str
+def _cell(code: np.ndarray) -> np.ndarray:
+    code = (code ^ (code >> np.uint32(15))) * _MIX[1]
+    code = (code ^ (code >> np.uint32(13))) * _MIX[2]
+    return code >> np.uint32(32 - CELL_BITS)
 
-    def table(self) -> np.ndarray:
-        out = np.zeros(0x110000, np.uint8)
-        for n, c in enumerate(self.letters[:ALPHABET]):
-            out[ord(c)] = n + 1
-        return out
 
+def present_runs(text: str, seen: np.ndarray) -> np.ndarray:
+    """Cells of the runs of 1, 2 and 3 characters that the whole text has; ``seen`` is scratch space and comes back empty.
 
-def present_runs(text: str, cells: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """Which runs of 1, 2 and 3 characters the whole text has; ``seen`` is scratch space and comes back empty."""
-    code = cells[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int32)
-    seen[code] = True
+    Characters are code points, lower-cased; white space of any kind and length is one blank.
+    """
+    code = np.frombuffer(" ".join(text.lower().split()).encode("utf-32-le", "surrogatepass"), np.uint32) * _MIX[0]
+    seen[_cell(code)] = True
     if len(code) > 1:
-        pair = code[:-1] * 64 + code[1:]
-        seen[pair + 64] = True
+        pair = code[:-1] * _MIX[3] + code[1:] + np.uint32(1)
+        seen[_cell(pair)] = True
         if len(code) > 2:
-            seen[pair[:-1] * 64 + code[2:] + (64 + 64**2)] = True
+            seen[_cell(pair[:-1] * _MIX[3] + code[2:] + np.uint32(2))] = True
     found = np.flatnonzero(seen)
     seen[found] = False
     return found.astype(np.int32)
@@ -55,12 +52,11 @@ def _has_letter(text: str) -> bool:
 
 @dataclass
 class Model:
-    letters: str
     languages: list[str]
     weights: np.ndarray  # presence cells x languages: kernel columns, landmark projection and ridge weights in one
 
 
-def fit_model(samples: list[tuple[str, np.ndarray]], letters: str, landmarks: int = 240, ridge: float = 1e-2) -> Model:
+def fit_model(samples: list[tuple[str, np.ndarray]], landmarks: int = 240, ridge: float = 1e-2) -> Model:
     """Kernel ridge regression, one language against the rest, on Nyström features of the presence kernel.
 
     k(x, y) is the number of runs that both texts have over the root of the product of their numbers.  The landmarks are taken evenly from the
@@ -94,7 +90,7 @@ def fit_model(samples: list[tuple[str, np.ndarray]], letters: str, landmarks: in
     solved = np.linalg.solve(weighed.T @ features + ridge * np.eye(features.shape[1]) * weight.sum() / max(1, len(runs)), weighed.T @ goal)
     weights = np.zeros((CELLS, len(languages)), np.float32)
     weights[used] = project @ solved.astype(np.float32)
-    return Model(letters, languages, weights)
+    return Model(languages, weights)
 
 
 def scores_of(runs: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
@@ -108,31 +104,18 @@ def scores_of(runs: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def _letter_counts(batches):
+def _runs(batches):
+    seen = np.zeros(CELLS, bool)
     for batch in batches:
-        totals: dict[str, int] = {}
-        for text in batch.column(0):
-            low = text.as_py().lower()
-            for c in set(low):
-                totals[c] = totals.get(c, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], names=["letter", "n"])
-
-
-def _runs(letters: str):
-    def run(batches):
-        cells, seen = Profile(letters).table(), np.zeros(CELLS, bool)
-        for batch in batches:
-            found = [present_runs(t.as_py(), cells, seen) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in found], pa.binary())], names=["lang", "runs"])
-
-    return run
+        found = [present_runs(t.as_py(), seen) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in found], pa.binary())], names=["lang", "runs"])
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500, landmarks: int = 240, ridge: float = 1e-2) -> Model | None:
     """Fit on labelled documents that are not held out; None when there are none.
 
     About ``per_language`` documents of each language are drawn by a digest of the id and the text; this bounds the fit, the rest is predicted only.  The driver
-    gathers character counts and presence vectors of the sample.
+    gathers presence vectors of the sample.  Number of languages x ``per_language`` vectors meet there; a vector is no larger than its text.
     """
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length(F.trim("text")) > 0) & ~held_out(F.col("doc_id")))
@@ -141,25 +124,23 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rate = F.lit(float(per_language)) / F.col("_n")
     coin = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = steps.write(labelled.join(F.broadcast(counts), "lang").filter(coin < rate).select("lang", "text"))
-    letters = sample.select("text").mapInArrow(_letter_counts, "letter string, n long").groupBy("letter").agg(F.sum("n").alias("n"))
-    kept = "".join(r[0] for r in letters.filter("letter NOT RLIKE '^\\\\s$'").orderBy(F.desc("n"), "letter").limit(ALPHABET).collect())
-    rows = sample.mapInArrow(_runs(kept), "lang string, runs binary").orderBy("lang", F.xxhash64("runs")).collect()
+    rows = sample.mapInArrow(_runs, "lang string, runs binary").orderBy("lang", F.xxhash64("runs")).collect()
     if not rows:
         return None
-    return fit_model([(r[0], np.frombuffer(r[1], np.int32)) for r in rows], kept, landmarks, ridge)
+    return fit_model([(r[0], np.frombuffer(r[1], np.int32)) for r in rows], landmarks, ridge)
 
 
 def _predict(shared):
     def run(batches) -> Iterator[pa.RecordBatch]:
         model: Model | None = shared.value
-        cells, seen = Profile(model.letters).table() if model else None, np.zeros(CELLS, bool)
+        seen = np.zeros(CELLS, bool)
         for batch in batches:
             texts = [t.as_py() for t in batch.column("_lang_text")]
             known = [n for n, t in enumerate(texts) if model and t and _has_letter(t)]
             lang, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             for at in range(0, len(known), 64):
                 some = known[at : at + 64]
-                values = scores_of([present_runs(texts[n], cells, seen) for n in some], model.weights).astype(np.float64)
+                values = scores_of([present_runs(texts[n], seen) for n in some], model.weights).astype(np.float64)
                 best = values.argmax(axis=1)
                 shares = np.exp(8 * (values - values.max(axis=1, keepdims=True)))
                 sure = 1 / shares.sum(axis=1)
@@ -184,7 +165,10 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
 
 def reject(docs: DataFrame, model: Model | None, least_score: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those of undetermined language or a score below ``least_score``; rows and columns as they are."""
+    """``docs`` without those of undetermined language or a score below ``least_score``; rows and columns as they are, whatever their names.
+
+    Null texts and texts without a letter go; every row of an empty table or without a model goes; repeated rows share their fate.
+    """
     carried = [F.col(c).alias(f"_c{n}") for n, c in enumerate(docs.columns)]
     rows = docs.select(*carried, F.col(text_col).alias("_lang_text"))
     kinds = ", ".join(f"_c{n} {f.dataType.simpleString()}" for n, f in enumerate(docs.schema))

@@ -4,7 +4,7 @@ import random
 import re
 
 VOCABULARY = [f"w{n}" for n in range(4000)]
-KINDS = "doc_id long, text string, source string, lang string, uid string, size string, kept string, score string, shard string, _tie string"
+KINDS = "doc_id long, text string, source string, lang string, uid string, size string, kept string, score string, shard string, _tie string, _a string, _b string, _leak_id string, _away string, _near_row string"
 
 
 def text(seed, n):
@@ -56,5 +56,5 @@ ODD = [(None, None), (1, None), (2, ""), (3, "  \n "), (4, "a"), (4, "a"), (5, L
 
 def documents(spark, pairs, source="s", lang=None):
     """Documents with more columns, named like those that operators make."""
-    rows = [(i, t, source, lang, "uid", "size", "kept", "score", "shard", "tie") for i, t in pairs]
+    rows = [(i, t, source, lang, "uid", "size", "kept", "score", "shard", "tie", *("a", "b", "leak", "away", "near")) for i, t in pairs]
     return spark.createDataFrame(rows, KINDS)

@@ -2,11 +2,12 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import plain
 from pyspark.sql import functions as F
 
 from roadcast.llm.decontaminate import drop_leaks, find_leaks, question_and_answer
-from roadcast.llm.language import predict, reject, train
+from roadcast.llm.language import CELLS, fit_model, predict, present_runs, reject, scores_of, train
 
 # Everyday words of two languages.
 ENGLISH = "the of and to in is that it was for on are with as his they at be this have from or one had by word but not what all".split()
@@ -57,6 +58,43 @@ def test_language_oddities(spark):
     assert {r.lang_pred for r in predict(odd, None).collect()} == {"und"}
 
 
+SCRIPTS = {"en": (97, 26), "ru": (0x430, 32), "el": (0x3B1, 24), "ja": (0x3041, 80), "zh": (0x4E00, 6000), "ko": (0xAC00, 6000)}
+
+
+def test_scripts_with_thousands_of_letters(spark):
+    import random
+
+    docs, truth = plain.documents(spark, []), {}
+    for n, (lang, (first, many)) in enumerate(SCRIPTS.items()):
+        rng = random.Random(lang)
+        made = [(n + len(SCRIPTS) * k, " ".join("".join(chr(first + rng.randrange(many)) for _ in range(5)) for _ in range(60))) for k in range(60)]
+        truth |= {i: lang for i, _ in made}
+        docs = docs.unionByName(plain.documents(spark, made, lang=lang))
+    held = [r for r in predict(docs, train(docs)).collect() if r.held_out]
+    assert {truth[r.doc_id] for r in held} == set(SCRIPTS) and all(r.lang_pred == truth[r.doc_id] for r in held)
+
+
+def test_scores_against_a_plain_kernel():
+    """The kernel matrix written out, its inverse root, and ridge regression on it; 100 texts, the same landmarks."""
+    import random
+
+    seen, rng = np.zeros(CELLS, bool), random.Random(4)
+    texts = [(lang, " ".join(rng.choice(words) for _ in range(12))) for _ in range(50) for lang, words in (("de", GERMAN), ("en", ENGLISH))]
+    samples = sorted(((lang, present_runs(t, seen)) for lang, t in texts), key=lambda s: s[0])
+    model = fit_model(samples, landmarks=20)
+    sets = [set(r.tolist()) for _, r in samples]
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    marks = [sets[n] for lang in ("de", "en") for n in [k for k, s in enumerate(samples) if s[0] == lang][:10]]
+    inner = np.array([[kernel(a, b) for b in marks] for a in marks])
+    outer = np.array([[kernel(a, b) for b in marks] for a in sets])
+    values, vectors = np.linalg.eigh(inner)
+    features = outer @ vectors @ np.diag(values**-0.5)
+    goal = np.array([[lang == "de", lang == "en"] for lang, _ in samples], float)
+    weight = np.full(len(samples), 1 / 50)
+    solved = np.linalg.solve((features * weight[:, None]).T @ features + 1e-2 * np.eye(20) * weight.sum() / 100, (features * weight[:, None]).T @ goal)
+    assert np.allclose(scores_of([r for _, r in samples], model.weights), features @ solved, atol=2e-3)
+
+
 def plain_leaks(pairs, items, threshold=0.6, overlap=0.8, k=5):
     """Every passage against every item."""
     tests = [(i, t, plain.words(t)) for i, t in items if plain.words(t)]
@@ -109,6 +147,17 @@ def test_leaks_against_every_passage_and_item(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted({n for n in range(40)} - {d for d, _ in got})
 
 
+def test_leaks_do_not_depend_on_chunks(spark):
+    pairs, items = leaky(spark)
+    items.append((77, plain.text("book", 90)))
+    pairs += [(900, plain.text("x", 70) + " " + items[3][1] + " " + plain.text("y", 70)), (901, plain.text("z", 200) + " " + items[-1][1])]
+    docs, tests = plain.documents(spark, pairs), plain.documents(spark, items).withColumnRenamed("doc_id", "item_id")
+    key = lambda df: sorted((r.doc_id, r.item_id, round(r.score, 9)) for r in df.collect())
+    whole, want = key(find_leaks(docs, tests)), plain_leaks(pairs, items)
+    assert key(find_leaks(docs, tests, chunk_bytes=400)) == whole
+    assert {(d, i) for d, i, _ in whole} == set(want) and (901, 77) in want and (900, 3) in want
+
+
 def test_leak_oddities(spark):
     _, items = leaky(spark)
     tests = plain.documents(spark, [*items, (None, None), (90, ""), (91, "w1 w2 w3 w4 w5 w6 w7"), (91, "w1 w2 w3 w4 w5 w6 w7")]).withColumnRenamed("doc_id", "item_id")
