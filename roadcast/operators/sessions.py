@@ -44,6 +44,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 TILE_RADII = 40  # a tile is that many radii high and at least as wide
 BLOCK_ROWS = 250_000  # a tile with more rows is cut at whole hours
+HALO_RADII, HALO_GAPS = 4, 4  # rows around a region that its first walk decides too, to know what goes on at its edges
 LEAST_RING = 16  # a ring of fewer tiles is one tile: near a pole the radius spans too many degrees
 
 _REGION = ["_none", "_type", "_tb", "_tc", "_blk"]
@@ -122,7 +123,10 @@ class _Open:
 
 
 def _walk(max_gap_s: float, radius_m: float):
-    """Decide the rows of a region in time order; rows that other regions have decided only keep their incident open."""
+    """Decide the rows of a region in time order; rows that other regions have decided (``told``) only keep their incident open.
+
+    Rows that are neither told nor the region's own are decided for the sake of the others and not returned.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         region, ongoing = None, _Open(max_gap_s, radius_m)
@@ -131,7 +135,7 @@ def _walk(max_gap_s: float, radius_m: float):
             for row in batch.itertuples(index=False):
                 if (here := row[:5]) != region:
                     region, ongoing = here, _Open(max_gap_s, radius_m)
-                if not row.own:
+                if row.told:
                     ongoing.saw(row.first_row, row.first_lat, row.first_lon, row.first_ts, row.snapshot_ts)
                     continue
                 key = ongoing.nearest(row.lat, row.lon, row.snapshot_ts)
@@ -140,7 +144,8 @@ def _walk(max_gap_s: float, radius_m: float):
                     ongoing.add(key, row.lat, row.lon, row.snapshot_ts, row.snapshot_ts)
                 incident = ongoing.known[key]
                 incident[3] = row.snapshot_ts
-                first.append((key, incident[2], incident[0], incident[1]))
+                if row.own:
+                    first.append((key, incident[2], incident[0], incident[1]))
             out = batch.loc[batch["own"], [*_REGION, "row_id", "snapshot_ts"]].reset_index(drop=True)
             yield out.join(pd.DataFrame(first, columns=["first_row", "first_ts", "first_lat", "first_lon"]))
 
@@ -161,19 +166,18 @@ def _regions(rows: DataFrame, block_rows: int) -> DataFrame:
     return placed.drop("_hour").withColumn("_blk", F.coalesce("_blk", F.lit(0).cast("bigint")))
 
 
-def _inbox(decided: DataFrame, spans: DataFrame, radius_m: float, gap_s: float) -> DataFrame:
-    """Decided rows for every other region that their incident can matter to: a tile within the radius of the incident's place,
-    a block whose rows come at most the gap after."""
-    size, reach = _tile_degrees(radius_m), _reach(radius_m)
-    lat, lon = F.col("first_lat"), F.col("first_lon")
-    wide = F.lit(reach) / F.greatest(F.cos(F.radians(F.least(F.abs(lat) + reach, F.lit(90.0)))), F.lit(1e-3))
-    spots = [(F.greatest(F.least(lat + a * reach, F.lit(90.0)), F.lit(-90.0)), lon + wide * b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+def _spread(rows: DataFrame, spans: DataFrame, lat: str, lon: str, radius_m: float, radii: float, gap_s: float) -> DataFrame:
+    """Copies of ``rows`` for every other region that is within ``radii`` radii of (lat, lon) and whose rows come at most the gap after."""
+    size, reach = _tile_degrees(radius_m), _reach(radius_m) * radii
+    at, across = F.col(lat), F.col(lon)
+    wide = F.lit(reach) / F.greatest(F.cos(F.radians(F.least(F.abs(at) + reach, F.lit(90.0)))), F.lit(1e-3))
+    spots = [(F.greatest(F.least(at + a * reach, F.lit(90.0)), F.lit(-90.0)), across + wide * b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
     tiles = F.array_distinct(F.array(*[F.struct(b.alias("b"), c.alias("c")) for b, c in (_tile(*spot, size) for spot in spots)]))
-    sent = decided.withColumnsRenamed({"_tb": "_ob", "_tc": "_oc", "_blk": "_oblk"}).withColumn("_t", F.explode(tiles))
+    sent = rows.withColumnsRenamed({"_tb": "_ob", "_tc": "_oc", "_blk": "_oblk"}).withColumn("_t", F.explode(tiles))
     sent = sent.withColumns({"_tb": F.col("_t.b"), "_tc": F.col("_t.c")}).join(spans, _REGION[:-1])
     elsewhere = (F.col("_tb") != F.col("_ob")) | (F.col("_tc") != F.col("_oc")) | (F.col("_blk") != F.col("_oblk"))
     sent = sent.filter(elsewhere & (F.col("snapshot_ts") <= F.col("_till")) & (F.col("snapshot_ts") >= F.col("_from") - F.lit(gap_s)))
-    return sent.select(*_REGION, "row_id", "snapshot_ts", "first_row", "first_ts", "first_lat", "first_lon")
+    return sent.select(*rows.columns)
 
 
 def assign_incidents(
@@ -187,8 +191,8 @@ def assign_incidents(
     A row joins the nearest incident of its type that was seen at most ``max_gap_min`` ago and opened within
     ``radius_m``, else it opens one.  Equal distances go to the incident that opened first.  Rows follow each other by time and row id.
 
-    The globe is cut into tiles, and tiles with more than ``max_rows`` rows of a type at whole hours.  Each such region is walked in time order on its own.  Then it is
-    told what others have decided about incidents within its reach, and walked again if that has changed.  A row depends on earlier
+    The globe is cut into tiles, and tiles with more than ``max_rows`` rows of a type at whole hours.  Each such region is walked in time order on its own, together with
+    the rows around it.  Then it is told what others have decided about incidents within its reach, and walked again if that has changed.  A row depends on earlier
     rows only, so the rounds end, and where nothing changes any more every row is decided as if all had been walked in one list.
     Regions that touch no other are walked once; only the ongoing incidents of a region are in memory.
 
@@ -202,17 +206,18 @@ def assign_incidents(
     rows = cut_lineage(_regions(cut_lineage(rows), max_rows))
     spans = cut_lineage(rows.groupBy(*_REGION).agg(F.min("snapshot_ts").alias("_from"), F.max("snapshot_ts").alias("_till")))
 
-    def walked(own: DataFrame, told: DataFrame | None) -> DataFrame:
-        nothing = {c: F.lit(0).cast(t) for c, t in (("first_row", "bigint"), ("first_ts", "bigint"), ("first_lat", "double"), ("first_lon", "double"))}
-        mixed = own.withColumns(nothing).withColumn("own", F.lit(True))
-        if told is not None:
-            mixed = mixed.unionByName(told.withColumns({"own": F.lit(False), "lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")}))
-        mixed = mixed.select(*_REGION, "row_id", "snapshot_ts", "lat", "lon", "own", "first_row", "first_ts", "first_lat", "first_lon")
+    known = {"first_row": "bigint", "first_ts": "bigint", "first_lat": "double", "first_lon": "double"}
+
+    def walked(own: DataFrame, others: DataFrame) -> DataFrame:
+        mixed = own.withColumns({c: F.lit(0).cast(t) for c, t in known.items()} | {"own": F.lit(True), "told": F.lit(False)}).unionByName(others)
+        mixed = mixed.select(*_REGION, "row_id", "snapshot_ts", "lat", "lon", "own", "told", *known)
         return mixed.repartition(*_REGION).sortWithinPartitions(*_REGION, "snapshot_ts", "row_id").mapInPandas(_walk(gap_s, radius_m), _WALKED)
 
-    decided, told_before = cut_lineage(walked(rows, None)), None
+    halo = _spread(rows, spans, "lat", "lon", radius_m, HALO_RADII, gap_s * HALO_GAPS)
+    halo = halo.withColumns({c: F.lit(0).cast(t) for c, t in known.items()} | {"own": F.lit(False), "told": F.lit(False)})
+    decided, told_before = cut_lineage(walked(rows, halo)), None
     while True:
-        told = cut_lineage(_inbox(decided, spans, radius_m, gap_s))
+        told = cut_lineage(_spread(decided, spans, "first_lat", "first_lon", radius_m, 1, gap_s))
         digest = F.sum(F.pmod(F.xxhash64("row_id", "first_row"), F.lit(1 << 40))).alias("_sum")
         now = told.groupBy(*_REGION).agg(F.count(F.lit(1)).alias("_n"), digest)
         if told_before is None:
@@ -222,7 +227,8 @@ def assign_incidents(
         changed = cut_lineage(changed)
         if changed.isEmpty():
             break
-        again = walked(rows.join(changed, _REGION, "left_semi"), told.join(changed, _REGION, "left_semi"))
+        nowhere = {"own": F.lit(False), "told": F.lit(True), "lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")}
+        again = walked(rows.join(changed, _REGION, "left_semi"), told.join(changed, _REGION, "left_semi").withColumns(nowhere))
         decided = cut_lineage(again.unionByName(decided.join(changed, _REGION, "left_anti")))
         told_before = now
     named = snapshots.select("row_id", "type", "lat", "lon", "message", "snapshot_ts")
