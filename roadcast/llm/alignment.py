@@ -28,8 +28,8 @@ _LEARN_CHARS = 1 << 17
 _SHIFT = 32
 
 # A piece is white space and what follows it.  No token of either tokenizer crosses its edge (see Aligner.cuts).
-_PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
-_ODD_SPACE = re.compile(r"[^\S \n]").search
+PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
+ODD_SPACE = re.compile(r"[^\S \n]").search
 _BEFORE_SPACE = re.compile(r"[^▁\n ][▁\n ]")
 
 
@@ -260,7 +260,7 @@ def _align(a_path: str, b_path: str):
 
         def rows(texts):
             """Few enough texts at once that their pieces fit; a longer text alone, section by section."""
-            cut = [list(map(_PIECES, _sections(" " + t))) if t and aligner.cuts and not _ODD_SPACE(t) else None for t in texts]
+            cut = [list(map(PIECES, _sections(" " + t))) if t and aligner.cuts and not ODD_SPACE(t) else None for t in texts]
             if len(pieces.text) > _KNOWN:
                 pieces.clear()
             new: set[str] = set()

@@ -53,26 +53,23 @@ def want(two, pairs):
     return out
 
 
-@pytest.mark.parametrize("limits", [{}, {"_BATCH_CHARS": 60, "_LEARN_CHARS": 20, "_KNOWN": 30}])
 @pytest.mark.parametrize("broadcast_pairs", [1 << 20, 0])
-def test_against_whole_texts(spark, tokenizers, monkeypatch, limits, broadcast_pairs):
-    for name, value in limits.items():
-        monkeypatch.setattr(alignment, name, value)
+def test_against_whole_texts(spark, tokenizers, broadcast_pairs):
     words = ["Wörter", "the", "über,", "naïve", "a", "rock'n'roll", "¿qué?", "x1y2", "\n", "東京", "of", "🙂🙂"]
     mixed = [(200 + n, " ".join(words[(n * k + k // 3) % len(words)] for k in range(60))) for n in range(25)]
-    long = [(i, t[:3000] if t and limits else t) for i, t in plain.ODD]
-    pairs = long + [(40 + n, t) for n, t in enumerate(TEXTS)] + mixed
+    pairs = plain.ODD + [(40 + n, t) for n, t in enumerate(TEXTS)] + mixed
     got = align_tokenizers(plain.documents(spark, pairs).repartition(2), A, B, broadcast_pairs=broadcast_pairs).collect()
     assert Counter((r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in got) == want(tokenizers, pairs)
 
 
 def test_settings_reach_the_code_that_runs(tokenizers, monkeypatch):
     """The same rows come from one section or many, and from pieces learnt again and again."""
-    monkeypatch.setattr(alignment, "_BATCH_CHARS", 50)
+    for name, value in (("_BATCH_CHARS", 50), ("_LEARN_CHARS", 20), ("_KNOWN", 30)):
+        monkeypatch.setattr(alignment, name, value)
     text = " ".join(f"w{n} ünd" for n in range(200))
     assert "".join(alignment._sections(" " + text)) == " " + text and len(list(alignment._sections(" " + text))) > 10
     pieces = alignment.Pieces(tokenizers)
-    parts = [alignment._PIECES(s) for s in alignment._sections(" " + text)]
+    parts = [alignment.PIECES(s) for s in alignment._sections(" " + text)]
     pieces.learn(list(dict.fromkeys(p for part in parts for p in part)))
     a, b, groups, links, sha = slow(tokenizers, text)
     assert alignment._row(parts, pieces)[:5] == (a, b, groups, len(links), sha)
