@@ -21,7 +21,7 @@ class WordCodes(dict):
     """64-bit code per word, kept while there are not too many."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         code = self[word] = xxhash.xxh64_intdigest(word.encode())
         return code
@@ -129,8 +129,8 @@ def link_groups(
 ) -> DataFrame:
     """(uid, comp) of the units linked to another: components of all similar pairs that share a bucket.
 
-    ``units``: (uid, size, buckets), repeated units allowed; units whose sizes are less than ``least_ratio`` apart cannot be similar and are not
-    compared.  Buckets with one unit go first; until then rows are two numbers, a bucket and a code of the unit.  ``fetch``: uids to (uid, text).  In each round the first units of a bucket, 1, then 16, 256, .., are
+    ``units``: (uid, size, n, buckets), repeated units allowed, ``n`` says how often a unit stands; units whose sizes are less than ``least_ratio`` apart cannot be similar and are not
+    compared.  Buckets with one unit go first; until then rows are two numbers, a bucket and a code of the unit.  ``fetch``: uids to (uid, text).  In each round the first units of a bucket by falling ``n``, 1, then 16, 256, .., are
     its pivots and are compared with all units of the bucket outside their component; then they leave it.  A bucket is done when the units left
     in it are in one component.  So pairs inside a group of copies are never listed, and every pair of a bucket has been compared or is joined
     by links already.  Nothing is capped.  One round over FIRST_BUCKETS of each unit goes ahead: most groups are joined by then, and their other
@@ -139,8 +139,8 @@ def link_groups(
     code = F.xxhash64("uid").alias("_code")
     placed = units.select(code, F.posexplode("buckets").alias("nth", "bucket"))
     shared = placed.groupBy("bucket").agg(F.min("_code").alias("_low"), F.max("_code").alias("_high")).filter("_low <> _high").select("bucket")
-    named = units.select(code, "uid", "size").distinct()
-    found = placed.join(shared, "bucket").distinct().join(named, "_code").select("nth", "bucket", "uid", "size")
+    named = units.select(code, "uid", "size", "n").distinct()
+    found = placed.join(shared, "bucket").distinct().join(named, "_code").select("nth", "bucket", "uid", "size", "n")
     early = F.col("nth") < FIRST_BUCKETS
     active, sums = steps.write_and_sum(found.withColumn("comp", F.col("uid")), n=F.lit(1))
     texts = steps.write(fetch(active.select("uid").distinct()))
@@ -149,7 +149,7 @@ def link_groups(
     while sums["n"]:
         # the filter on the row number is also applied before the shuffle, so a bucket sends few rows from each task
         now = active.filter(early) if ahead else active
-        first = now.withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("uid"))).filter(F.col("_r") <= n_pivots)
+        first = now.withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("n"), "uid"))).filter(F.col("_r") <= n_pivots)
         pivots = steps.write(first.select("bucket", F.col("uid").alias("a"), F.col("comp").alias("_comp"), F.col("size").alias("_size")))
         is_pivot = pivots.select("bucket", F.col("a").alias("uid"))
         alike = F.least("size", "_size") >= F.greatest("size", "_size") * F.lit(least_ratio - 1e-9)
@@ -159,12 +159,13 @@ def link_groups(
         found = verified(pairs.select("a", "b"), many["n"], texts, prepare, similar, steps)
         tested = tested.unionByName(pairs.select("_x", "_y"))
         known = groups.select(F.col("uid").alias("a"), F.col("comp").alias("b"))
-        groups = steps.write(components(known.unionByName(found), steps))
-        left = active.join(is_pivot, ["bucket", "uid"], "left_anti").select("nth", "bucket", "uid", "size")
-        left = left.join(groups, "uid", "left").select("nth", "bucket", "uid", "size", F.coalesce("comp", "uid").alias("comp"))
+        known_before, groups = groups, steps.write(components(known.unionByName(found), steps))
+        steps.drop(known_before, found)
+        left = active.join(is_pivot, ["bucket", "uid"], "left_anti").select("nth", "bucket", "uid", "size", "n")
+        left = left.join(groups, "uid", "left").select("nth", "bucket", "uid", "size", "n", F.coalesce("comp", "uid").alias("comp"))
         split = left.groupBy("bucket").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).filter("_low <> _high").select("bucket")
         before = active
-        active, sums = steps.write_and_sum(left.join(split, "bucket").select("nth", "bucket", "uid", "size", "comp"), n=F.lit(1))
+        active, sums = steps.write_and_sum(left.join(split, "bucket").select("nth", "bucket", "uid", "size", "n", "comp"), n=F.lit(1))
         steps.drop(before, pivots)
         n_pivots, ahead = n_pivots if ahead else n_pivots * 16, False
     return groups

@@ -175,7 +175,7 @@ def near_dedup(
     steps = Steps(docs.sparkSession)
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = steps.write(source.mapInArrow(_sketch(n_sketches, ell, k), SKETCHES))
-    units = rows.filter("buckets IS NOT NULL").select("uid", "size", "buckets")
+    units = rows.filter("buckets IS NOT NULL").select("uid", "size", F.lit(1).alias("n"), "buckets")
 
     def fetch(uids: DataFrame) -> DataFrame:
         first = rows.join(uids, "uid", "left_semi").groupBy("uid").agg(F.min("doc_id").alias("doc_id"))

@@ -3,8 +3,9 @@ from collections import Counter
 import numpy as np
 import plain
 
+from roadcast.llm.near import WordCodes, word_codes
 from roadcast.llm.near_dedup import banded_distance, near_dedup
-from roadcast.llm.substring_dedup import cut_repeats, find_repeats
+from roadcast.llm.substring_dedup import cut_repeats, cuts, find_repeats, passages
 
 
 def test_banded_distance_against_the_whole_matrix():
@@ -51,33 +52,91 @@ def test_near_dedup_oddities(spark):
     assert near_dedup(plain.documents(spark, [])).collect() == []
 
 
-def test_repeats_against_all_pairs_of_paragraphs(spark):
+def hidden_passages():
+    """A passage of 60 words inside longer lines, one with a word replaced, one over a line end; and texts of their own."""
     passage = plain.text("passage", 60)
-    pairs = [(n, "\n".join([plain.text(f"own{n}", 40), passage if n % 2 else plain.edited(passage, n, n % 3), "short line"])) for n in range(14)]
-    pairs += [(50, plain.text("alone", 80)), (51, f"{passage}\n{passage}")]
-    places = [(i, n, line) for i, t in pairs for n, line in enumerate(t.split("\n")) if len(plain.words(line)) >= 15]
-    sets = [plain.runs(plain.words(line)) for _, _, line in places]
-    root = plain.classes(len(places), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
-    sizes = Counter(root)
-    want = {places[n][:2]: places[r][:2] for n, r in enumerate(root) if sizes[r] > 1}
-    docs = plain.documents(spark, pairs)
+    pairs = [(n, f"{plain.text(f'a{n}', 40 + n)} {passage} {plain.text(f'b{n}', 55)}") for n in range(40)]
+    words_of = passage.split()
+    pairs += [(60, f"{plain.text('c', 30)}\n{' '.join(words_of[:25])}\n{' '.join(words_of[25:])} {plain.text('d', 30)}")]
+    pairs += [(61, f"{plain.text('e', 45)} {plain.edited(passage, 5, 1)}"), (62, passage)]
+    own = [(100 + n, plain.text(f"own{n}", 150)) for n in range(30)]
+    short = [(200 + n, f"{plain.text(f's{n}', 60)}\n{plain.text('notice', 18)}\n{plain.text(f't{n}', 60)}") for n in range(12)]
+    return passage, pairs, own, short
+
+
+def test_passages_inside_longer_lines(spark):
+    passage, pairs, own, short = hidden_passages()
+    docs = plain.documents(spark, pairs + own + short)
     repeats = find_repeats(docs.repartition(5))
     got = repeats.collect()
-    assert {(r.doc_id, r.paragraph): (r.class_doc_id, r.class_paragraph) for r in got} == want
     texts = dict(pairs)
+    # all that hold the passage, and no text of its own or with a short notice only
+    assert set(texts) - {61} <= {r.doc_id for r in got} <= set(texts)  # a word replaced in the middle may leave too little on either side
     for r in got:
-        assert texts[r.doc_id][r.start : r.stop] == texts[r.doc_id].split("\n")[r.paragraph]
-        assert r.kept == ((r.doc_id, r.paragraph) == (r.class_doc_id, r.class_paragraph))
-    cut = {r.doc_id: r.text for r in cut_repeats(docs, repeats).collect()}
+        found = texts[r.doc_id][r.start : r.stop].split()
+        assert len(found) == r.n_words >= 25
+        shared = [w for w in found if w in passage.split()]
+        assert len(shared) >= len(found) - 12
+        assert r.class_doc_id == 0 and r.kept == (r.doc_id == 0)
+    cut = {r.doc_id: r for r in cut_repeats(docs, repeats).collect()}
+    spans = {r.doc_id: (r.start, r.stop) for r in got if not r.kept}
+    for i, t in pairs + own + short:
+        a, b = spans.get(i, (0, 0))
+        assert cut[i].text == t[:a] + t[b:] and cut[i]._away == "away"
+
+
+def similar_places(pairs):
+    """Passages of all texts by the same cuts, their components over all pairs, and the words in classes of several texts."""
+    places = []
     for i, t in pairs:
-        away = {p for (d, p), first in want.items() if d == i and (d, p) != first}
-        assert cut[i] == "\n".join(line for n, line in enumerate(t.split("\n")) if n not in away)
+        found = plain.words(t)
+        if found:
+            codes = word_codes(found, WordCodes())
+            for a, b in zip(*passages(cuts(codes))):
+                places.append((i, int(a), int(b), plain.runs(found[a:b])))
+    root = plain.classes(len(places), lambda x, y: len(places[x][3] & places[y][3]) >= 0.8 * len(places[x][3] | places[y][3]))
+    members = {}
+    for n, r in enumerate(root):
+        members.setdefault(r, set()).add(places[n][0])
+    return {(i, w) for (i, a, b, _), r in zip(places, root) if len(members[r]) > 1 for w in range(a, b)}
+
+
+def test_repeats_against_all_pairs_of_passages(spark):
+    _, pairs, own, _ = hidden_passages()
+    base = plain.text("base", 160)
+    pairs = pairs[:6] + pairs[40:] + own[:6] + [(300 + n, plain.edited(base, n, n)) for n in range(5)]
+    want = similar_places(pairs)
+    texts, got = dict(pairs), set()
+    for r in find_repeats(plain.documents(spark, pairs), least_words=1, missed=1e-6).collect():
+        before = len(plain.words(texts[r.doc_id][: r.start]))
+        got |= {(r.doc_id, w) for w in range(before, before + r.n_words)}
+    assert got == want
+
+
+def test_cuts_follow_the_words():
+    inner = plain.text("inner", 80).split()
+    places = []
+    for n in range(20):
+        head = plain.text(f"h{n}", 10 + n).split()
+        edges = cuts(word_codes(head + inner + plain.text(f"t{n}", 20).split(), WordCodes())) - len(head)
+        places.append({int(e) for e in edges if 8 <= e <= 72})
+    assert all(p == places[0] for p in places) and len(places[0]) >= 4
+    for found in (["a"] * 500, ["a"], ["a", "b"], plain.text("x", 4000).split()):
+        edges = cuts(word_codes(found, WordCodes()))
+        assert edges[0] == 0 and edges[-1] == len(found) and np.diff(edges).max() <= 64
+        first, end = passages(edges)
+        assert first[0] == 0 and end[-1] == len(found) and (first[1:] <= end[:-1]).all()
 
 
 def test_repeats_oddities(spark):
     docs = plain.documents(spark, plain.ODD)
     repeats = find_repeats(docs)
-    assert [(r.doc_id, r.kept) for r in repeats.orderBy("doc_id").collect()] == [(5, True), (6, False)]
+    assert {(r.doc_id, r.kept) for r in repeats.collect()} == {(5, True), (6, False)}
     out = cut_repeats(docs, repeats)
     assert out.columns == docs.columns and out.count() == len(plain.ODD)
+    assert {r.doc_id: r.text for r in out.collect()}[6].strip() == ""
     assert find_repeats(plain.documents(spark, [])).collect() == []
+    letters = plain.documents(spark, [(n, f"İ{n} İstanbul " * 3 + plain.text("tr", 60)) for n in range(2)])
+    found = find_repeats(letters).collect()
+    texts = {r.doc_id: r.text for r in letters.collect()}
+    assert len(found) == 2 and all(texts[r.doc_id][r.start : r.stop].split()[-1] == plain.text("tr", 60).split()[-1] for r in found)
