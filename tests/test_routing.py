@@ -3,7 +3,7 @@ import random
 
 from conftest import rows
 
-from roadcast.operators.routing import alternative_paths, path_points, snap_to_nodes
+from roadcast.operators.routing import alternative_paths, landmark_vectors, path_points, snap_to_nodes
 
 
 def least(edges, src, dst, worn):
@@ -52,3 +52,18 @@ def test_snap_and_points(spark):
     assert rows(snap_to_nodes(trips, nodes)) == [(7, 1, 2)]
     paths = spark.createDataFrame([(7, 0, 0, 1), (7, 0, 1, 2)], "od_id BIGINT, alt INT, hop BIGINT, node BIGINT")
     assert rows(path_points(paths, nodes)) == [("7-0", 0, 1.3, 103.8), ("7-0", 1, 1.4, 103.8)]
+
+
+def test_landmark_distances(spark):
+    rng = random.Random(5)
+    raw = [(a, b, float(rng.randrange(10, 90))) for a in range(9) for b in rng.sample(range(9), 2) if a < b] + [(20, 21, 5.0)]
+    edges = {}
+    for a, b, length in raw:
+        edges[a, b] = min(length, edges.get((a, b), 1e18))
+    found = landmark_vectors(spark.createDataFrame(raw, "src BIGINT, dst BIGINT, length DOUBLE"), 3).collect()
+    marks = [next(r.node for r in found if r.far[2 * at] == 0) for at in range(3)]
+    for r in found:
+        for at, mark in enumerate(marks):
+            out, back = least(edges, mark, r.node, {}), least(edges, r.node, mark, {})
+            assert r.far[2 * at] == (float("-inf") if out is None else -out)
+            assert r.far[2 * at + 1] == (float("inf") if back is None else back)
