@@ -1,6 +1,7 @@
 import random
 
 from conftest import rows
+from pyspark.sql import functions as F
 from math import atan2, cos, radians, sin, sqrt
 
 from roadcast.operators import sessions
@@ -111,3 +112,11 @@ def test_iso_round_trip(spark):
     df = spark.createDataFrame([(0, 1770040500)], "start_ts BIGINT, end_ts BIGINT")
     out = with_iso_times(df).withColumn("back", iso_to_epoch("end_time_utc"))
     assert rows(out, "start_time_utc", "back") == [("1970-01-01T00:00:00+00:00", 1770040500)]
+
+
+def test_tiles_of_a_row_are_computed_once(spark):
+    """A cosine for the width of the reach, and one in the condition and one in the result for each of three bands; nine tiles share them."""
+    rows = spark.createDataFrame([(False, "a", 17, 1500, 0, 1, 100, 1.3, 103.8)], f"{', '.join(f'{c} {t}' for c, t in zip(sessions._REGION, ('BOOLEAN', 'STRING', 'BIGINT', 'BIGINT', 'BIGINT')))}, row_id BIGINT, snapshot_ts BIGINT, lat DOUBLE, lon DOUBLE")
+    spans = rows.select(*sessions._REGION, F.col("snapshot_ts").alias("_from"), F.col("snapshot_ts").alias("_till"))
+    plan = sessions._spread(rows, spans, "lat", "lon", 200.0, 4, 3600)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.upper().count("COS(") <= 7
