@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from roadcast.operators.features import build_features
-from roadcast.operators.routes import merge_runs, segments
+from roadcast.operators.routes import match_segments, merge_runs, segments
 from roadcast.operators.sessions import gap_sessions
 from roadcast.skew import hot_keys
 
@@ -94,3 +94,20 @@ def test_joins_of_hot_links(spark, readings):
         lambda h: asof_rain(rows_in, mapping, rain, hot=h),
     ):
         assert rows(job(hot)) == rows(job(None))
+
+
+def test_hot_keys_are_found_in_full_buckets_only(spark, monkeypatch):
+    data = [(k, n) for k in [None, *range(40)] for n in range(9 if k in (None, 7) else 4)]
+    df = spark.createDataFrame(data, "k BIGINT, n BIGINT")
+    for buckets in (1, 5, 4096):
+        monkeypatch.setattr("roadcast.skew.BUCKETS", buckets)
+        assert rows(hot_keys(df, ["k"], 5), "k", "_n", "_parts") == [(7, 9, 2), (None, 9, 2)]
+        assert hot_keys(df, ["k"], 9) is None
+
+
+def test_segments_meet_their_matches_without_a_sort(spark):
+    segs = spark.createDataFrame([(1, 0, 1.3, 103.8, 1.3005, 103.8, 55.0)], "route_id BIGINT, seq BIGINT, lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE, segment_len_m DOUBLE")
+    roads = spark.createDataFrame([(5, 1.3, 103.8, 1.3005, 103.8)], "link_id BIGINT, start_lat DOUBLE, start_lon DOUBLE, end_lat DOUBLE, end_lon DOUBLE")
+    plan = match_segments(segs, roads.withColumns({"road_category": F.lit(1), "road_name": F.lit("a")}))
+    assert "ShuffledHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
+    assert rows(plan, "route_id", "link_id") == [(1, 5)]
