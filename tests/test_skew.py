@@ -111,3 +111,12 @@ def test_segments_meet_their_matches_without_a_sort(spark):
     plan = match_segments(segs, roads.withColumns({"road_category": F.lit(1), "road_name": F.lit("a")}))
     assert "ShuffledHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
     assert rows(plan, "route_id", "link_id") == [(1, 5)]
+
+
+@pytest.mark.parametrize("limit", [2, 100])
+def test_segments_of_equal_place_are_ordered_by_their_ends(spark, limit):
+    data = [(1, s, link, lat, 10.0) for lat, link in ((0.3, 6), (0.1, 5), (0.4, 6), (0.2, 5)) for s in (None, 4)]
+    for given in (data, data[::-1]):
+        found = spark.createDataFrame(given, "route_id BIGINT, seq BIGINT, link_id BIGINT, lat1 DOUBLE, segment_len_m DOUBLE")
+        runs = merge_runs(found, limit, ties=["lat1"])
+        assert rows(runs, "run_no", "link_id", "first_seq", "n_segments") == [(1, 5, None, 2), (2, 6, None, 2), (3, 5, 4, 2), (4, 6, 4, 2)]
