@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +42,15 @@ def runs_of(found: list[str], k: int) -> set[tuple[str, ...]]:
 
 @dataclass
 class Index:
-    """Postings of one chunk of items.  Impacts are BM25 terms divided by the item's score for itself."""
+    """Postings of one chunk of items.  Impacts are BM25 terms divided by the item's score for itself.
+
+    Lists are arrays of the standard library: numpy reads them as they are, and ``bisect`` finds a place in a short one far sooner than numpy does.
+    """
 
     items: list[tuple[int, str]]
     terms: dict[str, int] = field(default_factory=dict)
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # items ascending, impacts
-    blocks: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # blocks ascending, most impact in each
+    postings: list[tuple[array, array]] = field(default_factory=list)  # items ascending, impacts
+    blocks: list[tuple[array, array]] = field(default_factory=list)  # blocks ascending, most impact in each
     best: list[float] = field(default_factory=list)
     rare: np.ndarray | None = None  # terms that a passage above the threshold must have some of
     rest: np.ndarray | None = None  # per block, what all other terms can add
@@ -77,9 +84,9 @@ def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int,
     rare[list(kept_rare)] = True
     for at, pairs in enumerate(gathered):
         ids, values = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
-        index.postings.append((ids, values))
+        index.postings.append((array("q", ids.tolist()), array("d", values.tolist())))
         where, first = np.unique(ids // BLOCK, return_index=True)
-        index.blocks.append((where, np.maximum.reduceat(values, first)))
+        index.blocks.append((array("q", where.tolist()), array("d", np.maximum.reduceat(values, first).tolist())))
         index.best.append(float(values.max()))
         if not rare[at]:
             np.add.at(others, ids, values)
@@ -95,43 +102,51 @@ def block_max_wand(index: Index, terms: list[int], threshold: float) -> list[tup
     Cursors move over the postings in item order.  The pivot is the first item that the terms before it could lift to the threshold; the
     most impacts of the blocks around it may show that no item up to the next block's start can reach it, and then all jump there.
     """
-    cursors = [[0, index.postings[t][0], index.postings[t][1], t] for t in terms]
-    found = []
+    # a cursor: its item, the item's place, items, impacts, blocks, most impacts of the blocks, most impact of all
+    cursors = [[index.postings[t][0][0], 0, *index.postings[t], *index.blocks[t], index.best[t]] for t in terms]
+    by_item, enough, found = itemgetter(0), threshold - 1e-9, []
     while cursors:
-        cursors.sort(key=lambda c: c[1][c[0]])
+        cursors.sort(key=by_item)
         bound, at = 0.0, -1
         for n, c in enumerate(cursors):
-            bound += index.best[c[3]]
-            if bound >= threshold - 1e-9:
+            bound += c[6]
+            if bound >= enough:
                 at = n
                 break
         if at < 0:
             break
-        pivot = cursors[at][1][cursors[at][0]]
-        while at + 1 < len(cursors) and cursors[at + 1][1][cursors[at + 1][0]] == pivot:
+        pivot = cursors[at][0]
+        while at + 1 < len(cursors) and cursors[at + 1][0] == pivot:
             at += 1
+        ahead = cursors[: at + 1]
         block, in_block = pivot // BLOCK, 0.0
-        for c in cursors[: at + 1]:
-            where, most = index.blocks[c[3]]
-            n = int(np.searchsorted(where, block))
+        for c in ahead:
+            where = c[4]
+            n = bisect_left(where, block)
             if n < len(where) and where[n] == block:
-                in_block += float(most[n])
-        if in_block < threshold - 1e-9:
+                in_block += c[5][n]
+        if in_block < enough:
             target = (block + 1) * BLOCK
             if at + 1 < len(cursors):
-                target = min(target, int(cursors[at + 1][1][cursors[at + 1][0]]))
-            target = max(target, int(pivot) + 1)
-        elif cursors[0][1][cursors[0][0]] == pivot:
-            score = sum(float(c[2][c[0]]) for c in cursors[: at + 1])
-            if score >= threshold - 1e-9:
-                found.append((int(pivot), score))
-            target = int(pivot) + 1
+                target = min(target, cursors[at + 1][0])
+            target = max(target, pivot + 1)
+        elif ahead[0][0] == pivot:
+            score = sum(c[3][c[1]] for c in ahead)
+            if score >= enough:
+                found.append((pivot, score))
+            target = pivot + 1
         else:
-            target = int(pivot)
-        for c in cursors[: at + 1]:
-            if c[1][c[0]] < target:
-                c[0] += int(np.searchsorted(c[1][c[0] :], target))
-        cursors = [c for c in cursors if c[0] < len(c[1])]
+            target = pivot
+        ended = False
+        for c in ahead:
+            if c[0] < target:
+                n = c[1] = bisect_left(c[2], target, c[1])
+                if n < len(c[2]):
+                    c[0] = c[2][n]
+                else:
+                    ended = True
+        if ended:
+            cursors = [c for c in cursors if c[1] < len(c[2])]
     return found
 
 
@@ -169,7 +184,7 @@ def _query(shared, threshold: float, overlap: float, k: int):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = words(text.as_py())
-                codes = np.fromiter((index.terms.get(w, -1) for w in found), np.int64, len(found))
+                codes = np.fromiter(map(index.terms.get, found, repeat(-1)), np.int64, len(found))
                 if not (codes >= 0).any():
                     continue
                 best: dict[int, tuple] = {}

@@ -1,4 +1,6 @@
 import math
+import random
+import sys
 import zlib
 from collections import Counter
 
@@ -6,7 +8,7 @@ import numpy as np
 import plain
 from pyspark.sql import functions as F
 
-from roadcast.llm.decontaminate import drop_leaks, find_leaks, question_and_answer
+from roadcast.llm.decontaminate import block_max_wand, build_index, drop_leaks, find_leaks, question_and_answer
 from roadcast.llm.language import CELLS, fit_model, predict, present_runs, reject, scores_of, train
 
 # Everyday words of two languages.
@@ -167,3 +169,23 @@ def test_leak_oddities(spark):
     assert drop_leaks(docs, got).filter("doc_id = 9").count() == 0
     assert find_leaks(plain.documents(spark, []), tests).collect() == []
     assert find_leaks(docs, tests.limit(0)).collect() == []
+
+
+def test_index_search_against_sums_over_all_items():
+    """All items at the threshold, their scores, and no numpy call for a place in a list of a few postings."""
+    items = [(n, plain.text(f"i{n}", 10 + n % 40)) for n in range(60)]
+    found = [plain.words(t) for _, t in items]
+    index = build_index(items, Counter(w for f in found for w in set(f)), len(items), 30.0, 60, 0.4)
+    rng, calls = random.Random(2), Counter()
+    for _ in range(60):
+        asked = {w for w in rng.choice(found) if rng.random() < 0.7} | set(rng.sample(list(index.terms), 40))
+        scores = Counter()
+        for w in asked:
+            for item, impact in zip(*index.postings[index.terms[w]]):
+                scores[item] += impact
+        sys.setprofile(lambda frame, event, called: calls.update([called.__name__]) if event == "c_call" else None)
+        got = dict(block_max_wand(index, sorted(index.terms[w] for w in asked), 0.4))
+        sys.setprofile(None)
+        assert got.keys() == {i for i, v in scores.items() if v >= 0.4} and got
+        assert all(abs(got[i] - scores[i]) < 1e-9 for i in got)
+    assert calls["searchsorted"] == 0 < calls["bisect_left"]
