@@ -181,7 +181,7 @@ def near_dedup(
         first = rows.join(uids, "uid", "left_semi").groupBy("uid").agg(F.min("doc_id").alias("doc_id"))
         return source.join(first, "doc_id").select("uid", "text").mapInArrow(_texts_of, "uid binary, text string").dropDuplicates(["uid"])
 
-    groups = link_groups(units, fetch, _prepare, similar_by_alignment(threshold), threshold, steps)
+    groups = link_groups(units, fetch, _prepare, similar_by_alignment(threshold), lambda ready: ready[1], threshold, steps)
     return classes(rows, groups, "doc_id")
 
 

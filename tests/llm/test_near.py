@@ -3,6 +3,7 @@ from collections import Counter
 import numpy as np
 import plain
 
+from roadcast.llm import near
 from roadcast.llm.near import WordCodes, word_codes
 from roadcast.llm.near_dedup import banded_distance, near_dedup
 from roadcast.llm.substring_dedup import cut_repeats, cuts, find_repeats, passages
@@ -42,6 +43,21 @@ def test_near_dedup_against_alignment_of_all_pairs(spark):
     assert want[7001] == 7001 and want[7002] == 7000  # the same words in another order are no copy
 
 
+def test_texts_that_share_a_part_are_not_listed_pair_by_pair(spark, monkeypatch):
+    """60 texts with the same 75 % of their words, of which some in three groups of copies: links as over all pairs, and far fewer pairs are aligned."""
+    part = plain.text("part", 150)
+    pairs = [(n, f"{part} {plain.text(f'own{n}', 50)}") for n in range(60)]
+    pairs += [(100 + n, plain.edited(pairs[n % 3][1], n, 1 + n % 5)) for n in range(30)]
+    pairs += [(200, plain.edited(pairs[7][1], 3, 30))]
+    found = [plain.words(t) for _, t in pairs]
+    root = plain.classes(len(pairs), lambda a, b: plain.distance(found[a], found[b]) <= 0.2 * max(len(found[a]), len(found[b])))
+    aligned, verified = [], near.verified
+    monkeypatch.setattr(near, "verified", lambda pairs, n, *rest: aligned.append(n) or verified(pairs, n, *rest))
+    got = {r.doc_id: r.class_id for r in near_dedup(plain.documents(spark, pairs), ell=2).collect()}
+    assert got == {pairs[n][0]: pairs[r][0] for n, r in enumerate(root)}
+    assert len(set(got.values())) > 50 and sum(aligned) < 900  # of 1,770 pairs without a link
+
+
 def test_near_dedup_oddities(spark):
     got = near_dedup(plain.documents(spark, plain.ODD)).collect()
     assert len(got) == len(plain.ODD)
