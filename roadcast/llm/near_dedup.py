@@ -107,7 +107,7 @@ def _prepare():
         found = word_codes(words(text), codes)
         return found, np.sort(labelled(found))
 
-    return make
+    return lambda texts: map(make, texts)
 
 
 def similar_by_alignment(threshold: float):
